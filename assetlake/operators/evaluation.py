@@ -80,12 +80,12 @@ def confusion_matrix(df: DataFrame) -> DataFrame:
 def class_report(df: DataFrame) -> DataFrame:
     """precision, recall, f1 and support of every class that occurs as actual or predicted."""
     pairs = df.groupBy("actual", "predicted").agg(F.count(F.lit(1)).alias("n"))
-    hits = F.when(F.col("actual") == F.col("predicted"), F.col("n")).otherwise(0)
+    hits = F.when(F.col("actual") == F.col("predicted"), F.col("n")).otherwise(F.lit(0).cast("long"))
     roles = pairs.select(
         F.inline(
             F.array(
                 F.struct(F.col("actual").alias("class"), F.col("n").alias("support"), F.lit(0).cast("long").alias("claimed"), hits.alias("hit")),
-                F.struct(F.col("predicted"), F.lit(0).cast("long"), F.col("n"), F.lit(0).cast("long")),
+                F.struct(F.col("predicted").alias("class"), F.lit(0).cast("long").alias("support"), F.col("n").alias("claimed"), F.lit(0).cast("long").alias("hit")),
             )
         )
     )
@@ -325,7 +325,7 @@ def ab_comparison(predictions: DataFrame, tests: DataFrame) -> DataFrame:
         F.inline(
             F.array(
                 F.struct(F.col("control_model_id").alias("model_id"), F.lit("control").alias("arm")),
-                F.struct(F.col("treatment_model_id"), F.lit("treatment")),
+                F.struct(F.col("treatment_model_id").alias("model_id"), F.lit("treatment").alias("arm")),
             )
         ),
     )

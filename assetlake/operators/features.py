@@ -118,13 +118,9 @@ def min_max_scale(df: DataFrame, column: str, out: str) -> DataFrame:
 
 
 def impute_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Fill NULLs with the exact column median."""
-    medians = wide_quantiles(exact_quantiles(df, columns, [0.5]), {(c, 0.5): f"m_{c}" for c in columns})
-    return (
-        df.withColumn("_m", medians.select(F.struct("*")).scalar())
-        .withColumns({c: F.coalesce(F.col(c), F.col(f"_m.m_{c}")) for c in columns})
-        .drop("_m")
-    )
+    """Fill NULLs with the exact column median; reads one small row of medians back to the driver."""
+    medians = {r["column"]: r["value"] for r in exact_quantiles(df, columns, [0.5]).collect()}
+    return df.withColumns({c: F.coalesce(F.col(c), F.lit(medians[c])) for c in columns if c in medians})
 
 
 def iqr_bounds(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (), factor: float = 1.5) -> DataFrame:
@@ -144,15 +140,17 @@ def outside_fence(column: str, low: str, high: str) -> Column:
 
 
 def drop_iqr_outliers(df: DataFrame, columns: Sequence[str], sequential: bool = True) -> DataFrame:
-    """Drop rows outside the fences; sequentially the fences of a column see only the rows kept so far."""
+    """Drop rows outside the fences; sequentially the fences of a column see only the rows kept so far.
+
+    The fences are read back as literals, so the result is one scan with plain filters.
+    """
     rounds = [[c] for c in columns] if sequential else [list(columns)]
     out = df
     for group in rounds:
-        fences = iqr_bounds(out, group).select(F.struct("*")).scalar()
-        marked = out.withColumn("_f", fences)
-        for c in group:
-            marked = marked.filter(~outside_fence(c, f"_f.low_{c}", f"_f.high_{c}"))
-        out = marked.drop("_f")
+        fences = iqr_bounds(out, group).first()
+        for c in group if fences else []:
+            low, high = fences[f"low_{c}"], fences[f"high_{c}"]
+            out = out.filter(~F.coalesce((F.col(c) < low) | (F.col(c) > high), F.lit(False)))
     return out
 
 

@@ -1,6 +1,12 @@
 """Imports every query module so that the registry is complete."""
 
-from assetlake.plans import queries_features, queries_monitoring, queries_rules  # noqa: F401
+from assetlake.plans import (  # noqa: F401
+    queries_evaluation,
+    queries_features,
+    queries_monitoring,
+    queries_rules,
+    queries_store,
+)
 from assetlake.plans.registry import REGISTRY
 
 __all__ = ["REGISTRY"]

@@ -12,6 +12,7 @@ from assetlake.operators import features as feat
 from assetlake.operators import validation as val
 from assetlake.operators.ordering import recent_rows
 from assetlake.operators.tables import first_per_key
+from assetlake.session import cut_lineage
 
 MEASURES = tuple(r.column for r in val.EQUIPMENT_RULES)
 
@@ -60,7 +61,8 @@ def generate_features(
 ) -> DataFrame:
     """Encoded, z-scored, engineered and rolling features of the valid records.
 
-    Statistics cover the whole cleaned table; rolling columns cover the last ten records per key.
+    Statistics cover the whole cleaned table; rolling columns cover the last ten records per key. ``cleaned``
+    is read several times: pass a stored or checkpointed table.
     """
     statistics = feat.scale_statistics(cleaned, MEASURES, 1)
     valid = cleaned.filter("is_valid")
@@ -98,8 +100,11 @@ def generate_features(
 
 
 def etl_clean(raw: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Drop duplicate rows, fill medians, drop quartile-fence outliers column by column."""
-    return feat.drop_iqr_outliers(feat.impute_medians(raw.dropDuplicates(), columns), columns)
+    """Drop duplicate rows, fill medians, drop quartile-fence outliers column by column.
+
+    Every later step reads the distinct rows several times, so they are checkpointed once.
+    """
+    return feat.drop_iqr_outliers(feat.impute_medians(cut_lineage(raw.dropDuplicates()), columns), columns)
 
 
 def etl_features(

@@ -10,6 +10,7 @@ from assetlake.operators.ordering import row_numbers
 from assetlake.plans import medallion
 from assetlake.plans.registry import query
 from assetlake.plans.views import EVENTS_NOW
+from assetlake.session import cut_lineage
 
 READING_ORDER = ["reading_time", "reading_id"]
 _BY_ENTITY = "PARTITION BY equipment_id ORDER BY reading_time, reading_id"
@@ -71,7 +72,7 @@ def w04(t):
     scale=9,
 )
 def w05(t):
-    return feat.change_from_previous(t.daily_metrics, ["metric_name"], ["metric_date"], "metric_value")
+    return feat.change_from_previous(cut_lineage(t.daily_metrics), ["metric_name"], ["metric_date"], "metric_value")
 
 
 @query(
@@ -283,7 +284,7 @@ _W10 = "(PARTITION BY equipment_type ORDER BY timestamp, udi ROWS BETWEEN 9 PREC
     scale=5,
 )
 def m17(t):
-    cleaned = medallion.clean_and_validate(t.raw_equipment)
+    cleaned = cut_lineage(medallion.clean_and_validate(t.raw_equipment))
     made = medallion.generate_features(
         cleaned, F.lit("2001-06-01").cast("date"), medallion.next_feature_version(None)
     )
