@@ -42,11 +42,14 @@ def range_count(df: DataFrame) -> int:
     return size
 
 
-def with_range(df: DataFrame, column: str, ranges: int | None = None) -> DataFrame:
-    """Add the number of the equal-count range the row's value falls into (0-based, ascending, NULL -> 0)."""
-    size = ranges or range_count(df)
+def range_bounds(df: DataFrame, column: str, size: int) -> DataFrame:
+    """One row with the sorted cuts between ``size`` ranges of about equal row count (``size`` a power of two)."""
     cuts = [i / size for i in range(1, size)]
-    bounds = df.agg(F.percentile_approx(column, cuts, max(1000, 20 * size)).alias("bounds"))
+    return df.agg(F.percentile_approx(column, cuts, max(1000, 20 * size)).alias("bounds"))
+
+
+def apply_range(df: DataFrame, column: str, bounds: DataFrame, size: int, name: str = RANGE) -> DataFrame:
+    """Number of cuts at or below the value, by binary search in the cut array (NULL -> 0)."""
     steps, step = [], size // 2
     while step:
         steps.append(step)
@@ -54,7 +57,7 @@ def with_range(df: DataFrame, column: str, ranges: int | None = None) -> DataFra
     return (
         df.withColumn("_bounds", bounds.scalar())
         .withColumn(
-            RANGE,
+            name,
             F.aggregate(
                 F.array(*[F.lit(s) for s in steps]),
                 F.lit(0),
@@ -65,6 +68,12 @@ def with_range(df: DataFrame, column: str, ranges: int | None = None) -> DataFra
     )
 
 
+def with_range(df: DataFrame, column: str, ranges: int | None = None) -> DataFrame:
+    """Add the number of the equal-count range the row's value falls into (0-based, ascending, NULL -> 0)."""
+    size = ranges or range_count(df)
+    return apply_range(df, column, range_bounds(df, column, size), size)
+
+
 def _by(keys: Sequence[str]) -> list[Column]:
     return [F.col(k) for k in keys] or [F.lit(0)]
 

@@ -3,6 +3,7 @@
 from assetlake.plans import (  # noqa: F401
     queries_evaluation,
     queries_features,
+    queries_learning,
     queries_monitoring,
     queries_rules,
     queries_store,

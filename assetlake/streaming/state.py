@@ -68,7 +68,7 @@ def with_history(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
 class LatestFeatures(StatefulProcessor):
     """Newest values per key by event time, forgotten after the time-to-live; emits every replacement."""
 
-    def __init__(self, columns: Sequence[str], ttl_ms: int = ONLINE_TTL_MS):
+    def __init__(self, columns: Sequence[str], ttl_ms: int | None = ONLINE_TTL_MS):
         self.columns, self.ttl_ms = list(columns), ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -93,13 +93,19 @@ class LatestFeatures(StatefulProcessor):
         pass
 
 
-def latest_features(rows: DataFrame, columns: Sequence[str], ttl_ms: int = ONLINE_TTL_MS) -> DataFrame:
+def latest_features(rows: DataFrame, columns: Sequence[str], ttl_ms: int | None = ONLINE_TTL_MS) -> DataFrame:
+    """Stateful online store. With a time-to-live Spark keeps scheduling batches to expire state, so run such a
+    query with a processing-time trigger; ``ttl_ms=None`` keeps state for good and suits ``availableNow``.
+    """
     rows.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     schema = "equipment_id string, event_time timestamp, " + ", ".join(f"{c} double" for c in columns)
     return (
         rows.select("equipment_id", "event_time", *columns)
         .groupBy("equipment_id")
         .transformWithStateInPandas(
-            LatestFeatures(columns, ttl_ms), outputStructType=schema, outputMode="update", timeMode="ProcessingTime"
+            LatestFeatures(columns, ttl_ms),
+            outputStructType=schema,
+            outputMode="update",
+            timeMode="None" if ttl_ms is None else "ProcessingTime",
         )
     )
