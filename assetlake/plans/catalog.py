@@ -7,6 +7,7 @@ from assetlake.plans import (  # noqa: F401
     queries_monitoring,
     queries_rules,
     queries_store,
+    queries_streaming,
 )
 from assetlake.plans.registry import REGISTRY
 

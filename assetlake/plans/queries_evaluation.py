@@ -395,7 +395,7 @@ def a25(t):
                      avg(CASE WHEN reading_time >= TIMESTAMP '{_SPLIT_TIME}' THEN value END) AS current_mean
               FROM {{readings}} GROUP BY equipment_id) m""",
     floats="reference_mean current_mean mean_drift",
-    scale=5,
+    scale=9,
 )
 def a26(t):
     return drift.mean_drift(t.readings, ["equipment_id"], "value", _current())

@@ -214,7 +214,7 @@ def a23(t):
               FROM {{readings}} WHERE reading_time >= TIMESTAMP '{EVENTS_NOW}' - INTERVAL '7' DAY) d
         GROUP BY equipment_id, sensor HAVING count(*) > 1""",
     floats="slope intercept",
-    scale=5,
+    scale=9,
 )
 def a24(t):
     since = F.col("reading_time") >= F.lit(EVENTS_NOW).cast("timestamp_ntz") - F.expr("INTERVAL '7' DAY")

@@ -254,7 +254,7 @@ _DAILY = """
     FROM {cleaned} GROUP BY 1"""
 
 
-@query("a11_daily_statistics", _DAILY, floats="avg_air_temp avg_process_temp failure_rate_percent", dates="statistic_date", scale=5)
+@query("a11_daily_statistics", _DAILY, floats="avg_air_temp avg_process_temp failure_rate_percent", dates="statistic_date", scale=9)
 def a11(t):
     return reports.daily_statistics(t.cleaned)
 

@@ -255,7 +255,7 @@ def a12(t):
         FROM {{offline}} WHERE timestamp BETWEEN TIMESTAMP '{EVENTS_NOW}' - INTERVAL '10' DAY AND TIMESTAMP '{EVENTS_NOW}'
         GROUP BY equipment_id, feature_name""",
     floats="mean std min max",
-    scale=5,
+    scale=9,
 )
 def a13(t):
     return store.entity_statistics(t.offline, _now(), 10)
@@ -348,7 +348,7 @@ def _series(t):
     f"WITH {_SLIDING} SELECT * FROM a",
     floats="mean median std min max range",
     times="window_start window_end",
-    scale=5,
+    scale=9,
 )
 def x05(t):
     return windows.batch_statistics(_series(t), "1 day", "6 hours")

@@ -29,7 +29,10 @@ class Query:
     def run(self, spark: SparkSession, sf_dir: str) -> DataFrame:
         out = self.build(Tables(spark, sf_dir))
         changes = {c: F.round(F.col(c).cast("double"), self.scale) + F.lit(0.0) for c in self.floats}
-        changes |= {c: F.date_format(F.col(c), TIME_FORMAT_SPARK) for c in self.times}
+        zoned = {c for c, kind in out.dtypes if kind == "timestamp"}  # instants are printed in UTC
+        for c in self.times:
+            moment = F.to_utc_timestamp(F.col(c), F.current_timezone()) if c in zoned else F.col(c)
+            changes[c] = F.date_format(moment, TIME_FORMAT_SPARK)
         changes |= {c: F.date_format(F.col(c), "yyyy-MM-dd") for c in self.dates}
         return out.withColumns(changes) if changes else out
 

@@ -27,18 +27,26 @@ def _is_number(member: Column) -> Column:
     return hit
 
 
+def compute_once(df: DataFrame, *columns: Column) -> DataFrame:
+    """Add columns that later steps refer to many times.
+
+    A plain projection would be merged into its consumers and evaluated once per reference; the generator keeps it
+    a step of its own.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*columns))))
+
+
 def parse(raw: DataFrame, value_col: str = "value") -> DataFrame:
     """JSON text to typed columns; ``data`` keeps its numeric members only, ``raw`` the original text."""
-    parsed = raw.withColumn("_m", F.from_json(F.col(value_col).cast("string"), MESSAGE_SCHEMA))
+    text = raw.select(F.col(value_col).cast("string").alias("raw"))
+    parsed = compute_once(text, F.from_json("raw", MESSAGE_SCHEMA).alias("_m"))
     numbers = F.map_filter("_m.data", lambda _, v: v.isNotNull() & _is_number(v))
-    return parsed.select(
-        F.col("_m.equipment_id").alias("equipment_id"),
-        parse_iso("_m.timestamp").alias("event_time"),
+    typed = compute_once(
+        parsed,
         F.transform_values(numbers, lambda _, v: F.try_variant_get(v, "$", "double")).alias("data"),
-        F.col("_m.sensor_type").alias("sensor_type"),
-        F.col("_m.message_id").alias("message_id"),
-        F.col(value_col).cast("string").alias("raw"),
+        parse_iso("_m.timestamp").alias("event_time"),
     )
+    return typed.select("_m.equipment_id", "event_time", "data", "_m.sensor_type", "_m.message_id", "raw")
 
 
 def usable() -> Column:
@@ -57,7 +65,7 @@ def series(parsed: DataFrame) -> DataFrame:
 
 
 def with_sensor_columns(parsed: DataFrame, sensors: Sequence[str] = SENSORS) -> DataFrame:
-    return parsed.withColumns({s: F.try_element_at("data", F.lit(s)) for s in sensors})
+    return compute_once(parsed, *[F.try_element_at("data", F.lit(s)).alias(s) for s in sensors])
 
 
 def validate(sensor_rows: DataFrame) -> tuple[DataFrame, DataFrame]:
