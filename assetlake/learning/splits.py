@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assetlake.operators.ordering import exact_quantiles, match_on
+from assetlake.operators.ordering import exact_quantiles
 
 
 def row_hash(keys: Sequence[str], seed: int = 42) -> Column:
@@ -24,28 +24,37 @@ def unit_hash(seed: int, *parts: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(F.lit(seed), *parts), 12).cast("double") / F.lit(float(2**52))
 
 
-def _cuts(df: DataFrame, keys: Sequence[str], label: str, probs: Sequence[float], seed: int) -> DataFrame:
+def _cuts(df: DataFrame, keys: Sequence[str], label: str, probs: Sequence[float], seed: int) -> dict:
+    """Ascending hash cuts per class, read back as literals (classes times cuts numbers)."""
     hashed = df.select(label, row_hash(keys, seed).alias("_h"))
-    quantiles = exact_quantiles(hashed, ["_h"], probs, [label])
-    return quantiles.groupBy(label).agg(F.sort_array(F.collect_list("value")).alias("_cuts"))
+    found: dict = {}
+    for row in exact_quantiles(hashed, ["_h"], probs, [label]).collect():
+        found.setdefault(row[label], []).append(row["value"])
+    return {value: sorted(cuts) for value, cuts in found.items()}
+
+
+def _cuts_passed(cuts: dict, keys: Sequence[str], label: str, seed: int) -> Column:
+    """How many cuts of its class a row's hash lies above; NULL for a row without a class."""
+    position = row_hash(keys, seed)
+    passed = F.lit(None).cast("int")
+    for value, edges in cuts.items():
+        above = sum(((position > edge).cast("int") for edge in edges), F.lit(0))
+        passed = F.when(F.col(label) == value, above).otherwise(passed)
+    return passed
 
 
 def with_fold(df: DataFrame, keys: Sequence[str], label: str, folds: int = 5, seed: int = 42, name: str = "fold") -> DataFrame:
-    """Fold number 0..folds-1; every class is spread evenly over the folds."""
+    """Fold number 0..folds-1; every class is spread evenly over the folds. Rows without a class are left out."""
     cuts = _cuts(df, keys, label, [i / folds for i in range(1, folds)], seed)
-    marked = match_on(df.withColumn("_h", row_hash(keys, seed)), cuts, [label], "inner")
-    fold = F.size(F.filter("_cuts", lambda c: c < F.col("_h"))).cast("int")
-    return marked.withColumn(name, fold).drop("_h", "_cuts")
+    return df.withColumn(name, _cuts_passed(cuts, keys, label, seed)).filter(F.col(name).isNotNull())
 
 
 def stratified_split(
     df: DataFrame, keys: Sequence[str], label: str, test_share: float = 0.2, seed: int = 42
 ) -> tuple[DataFrame, DataFrame]:
-    """(train, test) with the same class shares."""
-    cuts = _cuts(df, keys, label, [1.0 - test_share], seed)
-    marked = match_on(df.withColumn("_h", row_hash(keys, seed)), cuts, [label], "inner")
-    in_train = F.col("_h") <= F.col("_cuts")[0]
-    return marked.filter(in_train).drop("_h", "_cuts"), marked.filter(~in_train).drop("_h", "_cuts")
+    """(train, test) with the same class shares; rows without a class are in neither."""
+    passed = _cuts_passed(_cuts(df, keys, label, [1.0 - test_share], seed), keys, label, seed)
+    return df.filter(passed == 0), df.filter(passed == 1)
 
 
 def class_counts(df: DataFrame, label: str) -> dict:

@@ -193,28 +193,50 @@ def exact_quantiles(
         one_row = numeric.agg(*sketch).select(F.struct(*[f"_s{i}" for i in range(len(columns))]))
         bracketed = numeric.withColumn("_all", one_row.scalar()).select("*", "_all.*").drop("_all")
 
+    # (column number, prob, small group or not, bracket) of every requested quantile
     targets = []
     for i, c in enumerate(columns):
         for j, p in enumerate(probs):
             low, high = F.col(f"_s{i}.edges")[2 * j], F.col(f"_s{i}.edges")[2 * j + 1]
-            small = F.col(f"_s{i}.n") <= SMALL_GROUP
-            targets.append(
-                F.when(
-                    F.col(c).isNotNull() & (small | (F.col(c) <= high)),
+            targets.append((i, c, float(p), F.col(f"_s{i}.n") <= SMALL_GROUP, low, high))
+    # how many values lie below each bracket: plain conditional counts
+    below = bracketed.groupBy(*keys).agg(
+        *[F.max(f"_s{i}.n").alias(f"_n{i}") for i in range(len(columns))],
+        *[F.count(F.when(~small & (F.col(c) < low), 1)).alias(f"_b{t}") for t, (_, c, _, small, low, _) in enumerate(targets)],
+    )
+    below = below.select(
+        *keys,
+        F.inline(
+            F.array(
+                *[
                     F.struct(
                         F.lit(c).alias("column"),
-                        F.lit(float(p)).alias("prob"),
-                        F.col(f"_s{i}.n").alias("n"),
-                        F.when(small | (F.col(c) >= low), F.col(c)).alias("v"),
+                        F.lit(p).alias("prob"),
+                        F.col(f"_n{i}").alias("n"),
+                        F.lit(None).cast("double").alias("v"),
+                        F.col(f"_b{t}").alias("cnt"),
+                    )
+                    for t, (i, c, p, _, _, _) in enumerate(targets)
+                ]
+            )
+        ),
+    ).filter("cnt > 0")
+    # the distinct values inside the brackets: a small share of the rows
+    inside = F.array_compact(
+        F.array(
+            *[
+                F.when(
+                    F.col(c).isNotNull() & (small | F.col(c).between(low, high)),
+                    F.struct(
+                        F.lit(c).alias("column"), F.lit(p).alias("prob"), F.col(f"_s{i}.n").alias("n"), F.col(c).alias("v")
                     ),
                 )
-            )
-    counted = (
-        bracketed.select(*keys, F.explode(F.array_compact(F.array(*targets))).alias("t"))
-        .select(*keys, "t.*")
-        .groupBy(*keys, "column", "prob", "n", "v")
-        .agg(F.count(F.lit(1)).alias("cnt"))
+                for i, c, p, small, low, high in targets
+            ]
+        )
     )
+    near = bracketed.select(*keys, F.inline(inside)).groupBy(*keys, "column", "prob", "n", "v")
+    counted = below.unionByName(near.agg(F.count(F.lit(1)).alias("cnt")))
     group = [*keys, "column", "prob", "n"]
     upto = (
         Window.partitionBy(*group).orderBy(F.col("v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)

@@ -108,7 +108,7 @@ def _metrics(name, model, test):
 
 
 def _split(t):
-    return splits.stratified_split(cut_lineage(labelled(t)), KEYS, "label")
+    return splits.stratified_split(models.stored_for_training(labelled(t), KEYS), KEYS, "label")
 
 
 @query("l03_logistic_regression")
@@ -166,7 +166,7 @@ def l14(t):
 def l15(t):
     train, test = _split(t)
     model = models.fit(train, models.logistic_regression(FEATURES))
-    return models.permutation_importance(model, cut_lineage(test), FEATURES, KEYS)
+    return models.permutation_importance(model, test, FEATURES, KEYS)
 
 
 @query("l16_l17_batch_scoring_log")
