@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,7 +49,6 @@ def load_batch(
     _audit(spark, audit_path, **common, status="in_progress")
     try:
         size = stored_bytes(spark, path)
-        counted = Observation("load")
         rows = read_raw_csv(spark, path).withColumns(
             {
                 "timestamp": F.current_timestamp().cast("timestamp_ntz"),
@@ -58,14 +57,16 @@ def load_batch(
                 "batch_id": F.lit(batch),
             }
         )
-        observed = rows.observe(counted, F.count(F.lit(1)).alias("rows"))
         (
-            observed.write.mode("overwrite")
+            rows.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("batch_id")
             .parquet(table_path)
         )
-        _audit(spark, audit_path, **common, status="completed", file_size=size, records_count=counted.get["rows"])
+        # counted from the footers of the written partition: an Observation would make the session
+        # unserialisable for MLlib models, whose training summaries hold it
+        written = spark.read.parquet(table_path).filter(F.col("batch_id") == batch).count()
+        _audit(spark, audit_path, **common, status="completed", file_size=size, records_count=written)
     except Exception as error:
         _audit(spark, audit_path, **common, status="failed", error_message=str(error)[:2000])
         raise
