@@ -551,7 +551,7 @@ def f07(t):
     """SELECT event_id, coalesce(nullif(event_type, 'view'), 'none') AS type_or_none, least(value, 50.0) AS capped,
               value / nullif(user_id, 0) AS per_user FROM {events}""",
     floats="capped per_user",
-    scale=10,
+    scale=12,
 )
 def f08(t):
     return t.events.select(
@@ -585,7 +585,7 @@ def f10(t):
     return t.events.groupBy(bucket).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("f11_log_and_power", "SELECT event_id, ln(value) AS log_value, value * value AS energy FROM {events}", floats="log_value energy")
+@query("f11_log_and_power", "SELECT event_id, CASE WHEN value > 0 THEN ln(value) END AS log_value, value * value AS energy FROM {events}", floats="log_value energy")
 def f11(t):
     return t.events.select("event_id", F.ln("value").alias("log_value"), F.pow("value", F.lit(2.0)).alias("energy"))
 
