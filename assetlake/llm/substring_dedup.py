@@ -70,9 +70,9 @@ def _phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Automaton:
-    """Phrases (lists of words) as an automaton; a word is three letters, so that a node has few branches."""
+    """Phrases (tuples of words) as an automaton; a word is three letters, so that a node has few branches."""
 
-    def __init__(self, phrases: list[list[bytes]]):
+    def __init__(self, phrases: list[tuple[bytes, ...]]):
         names = sorted({w for p in phrases for w in p})
         base = 2
         while base**3 < len(names) + 1:
@@ -124,7 +124,8 @@ def _locate(docs: pa.Table, phrases: pa.Table) -> pa.Table:
                 raw = words.data.tobytes()
                 for i in at:
                     patterns[tuple(raw[a:b] for a, b in zip(words.starts[i : i + PHRASE].tolist(), words.ends[i : i + PHRASE].tolist()))] = None
-    machine = Automaton([list(p) for p in patterns])
+    machine = Automaton(list(patterns))
+    del patterns
     rows: dict[str, list] = {k: [] for k in ("doc_id", "row", "text", "n_words", "spans", "sha")}
     win: dict[str, list] = {k: [] for k in ("doc_id", "row", "hash", "more", "place")}
     place, previous, number = 0, None, 0
