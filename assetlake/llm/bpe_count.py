@@ -25,7 +25,7 @@ from assetlake.llm.batches import byte_texts
 from assetlake.llm.tokens import default_path
 
 LIMIT = 2048
-KEPT_WORDS, LONG_WORD = 400_000, 64
+KEPT_WORDS, LONG_WORD = 800_000, 64
 _SPACES = r"\t\n\x0b\f\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"  # white space of Unicode
 COUNTS = "doc_id bigint, n_bytes bigint, n_tokens bigint, over_limit boolean"
 
@@ -113,15 +113,17 @@ class Counter:
         if len(self.tokens) > KEPT_WORDS:
             self.tokens = {}
         known, words = self.known, text.split()
-        long = 0
-        for w in words:
-            if w not in known:
-                n = self.word(w.decode("utf-8"))
-                if len(w) <= LONG_WORD:
-                    known[w] = n
-                else:
-                    long += n
-        return sum([known.get(w, 0) for w in words]) + long
+        found = list(map(known.get, words))
+        if None in found:
+            for i, n in enumerate(found):
+                if n is None:
+                    word = words[i]
+                    n = found[i] = known.get(word)
+                    if n is None:
+                        n = found[i] = self.word(word.decode("utf-8"))
+                        if len(word) <= LONG_WORD:
+                            known[word] = n
+        return sum(found)
 
 
 _OPEN: dict[str, Counter] = {}

@@ -8,13 +8,14 @@ tokenizer is of that kind.
 from __future__ import annotations
 
 import os
+from array import array
 
-import numpy as np
 import public_tokenizers
 
 VOCABULARY = "word_bpe_49k.json"
 LONG_WORD = 64  # bytes; a longer word's ids are not kept
-KEPT_WORDS = 400_000  # words whose ids a Python worker keeps; then it begins anew
+KEPT_WORDS = 1_200_000  # words whose ids a Python worker keeps (about 200 bytes each); then it begins anew
+_MARKS = (b".", b",")
 
 _OPEN: dict[str, "WordIds"] = {}
 
@@ -24,7 +25,7 @@ def default_path() -> str:
 
 
 class WordIds:
-    """Ids of texts as little-endian unsigned 32-bit integers."""
+    """Ids of texts as unsigned 32-bit integers, least byte first."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -32,23 +33,51 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
+        self.stems: dict[bytes, bytes] = {}
+
+    def _learn(self, words: list[bytes]) -> None:
+        """Encode words. Of a word without "<" (which may begin a special string) a full stop or comma after an ASCII
+        letter is set apart and ASCII letters are lowered: letters and marks are never in one token and the tokenizer
+        folds case, so the ids are the same and fewer strings are encoded."""
+        stems, parts = self.stems, []
+        for w in words:
+            if b"<" in w:
+                parts.append((w, b""))
+            elif w[-1:] in _MARKS and w[-2:-1].isalpha():
+                parts.append((w[:-1].lower(), w[-1:]))
+            else:
+                parts.append((w.lower(), b""))
+        new = list({p for pair in parts for p in pair}.difference(stems))
+        plain = [w.decode("utf-8") for w in new]
+        for stem, found in zip(new, self.tokenizer.encode_batch_fast(plain, add_special_tokens=False)):
+            stems[stem] = array("I", found.ids).tobytes()
+        known = self.known
+        for word, (stem, mark) in zip(words, parts):
+            known[word] = stems[stem] + stems[mark] if mark else stems[stem]
+        for stem in new:
+            if len(stem) > LONG_WORD:
+                del stems[stem]
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text, without added special tokens."""
         if len(self.known) > KEPT_WORDS:
             self.known = {}
-        words = [t.split() for t in texts]
+        if len(self.stems) > KEPT_WORDS:
+            self.stems = {}
         known = self.known
-        missing = list({w for ws in words for w in ws if w not in known})
+        words = [t.split() for t in texts]
+        found = [list(map(known.get, ws)) for ws in words]
+        gaps = [[i for i, v in enumerate(vs) if v is None] if None in vs else () for vs in found]
+        missing = list({ws[i] for ws, at in zip(words, gaps) for i in at})
         if missing:
-            plain = [w.decode("utf-8") for w in missing]
-            for word, found in zip(missing, self.tokenizer.encode_batch_fast(plain, add_special_tokens=False)):
-                known[word] = np.array(found.ids, "<u4").tobytes()
-        out = [b"".join([known[w] for w in ws]) for ws in words]
-        for word in missing:
-            if len(word) > LONG_WORD:
-                del known[word]
-        return out
+            self._learn(missing)
+            for ws, vs, at in zip(words, found, gaps):
+                for i in at:
+                    vs[i] = known[ws[i]]
+            for word in missing:
+                if len(word) > LONG_WORD:
+                    del known[word]
+        return [b"".join(vs) for vs in found]
 
 
 def opened(path: str) -> WordIds:

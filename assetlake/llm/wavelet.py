@@ -1,10 +1,11 @@
 """Token ids of a corpus as wavelet matrices, one compressed file for each shard.
 
 A shard has the ids of consecutive documents in ascending doc_id (null ids first; equal ids in order of text), each
-document followed by the end id. File: a line of JSON (counts, document ids and starts, plane lengths), then the bit
-planes, highest bit first, each compressed on its own. Plane k has bit k of the ids after the ids were stably parted by
-the bits above; with ranks of ones at every ``RANK`` bits this gives the id at a place, the number of an id's occurrences
-and the place of its n-th occurrence without decoding the rest.
+document followed by the end id. File: a line of JSON (counts, document ids and starts, block lengths), then the
+list of distinct ids, most frequent first, and the bit planes of the ids' places in that list (codes), highest bit
+first, each compressed on its own. Plane k has bit k of the codes after they were stably parted by the bits above; with
+ranks of ones at every ``RANK`` bits this gives the id at a place, the number of an id's occurrences and the place of its
+n-th occurrence without decoding the rest.
 
 Texts are dealt by ranges of doc_id and written by the tasks to the shared folder; the driver sees one number for each
 partition. Null and empty texts have the end id alone.
@@ -36,10 +37,10 @@ ROWS = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
 
 
 class WaveletMatrix:
-    """Bit planes of a list of ids with ranks."""
+    """Bit planes of the codes of a list of ids, with ranks; ``symbols`` has the id of each code."""
 
-    def __init__(self, planes: list[np.ndarray], n: int):
-        self.planes, self.n = planes, n
+    def __init__(self, symbols: np.ndarray, planes: list[np.ndarray], n: int):
+        self.symbols, self.planes, self.n = symbols, planes, n
         self.zeros: list[int] = []
         self.ranks: list[np.ndarray] = []
         for plane in planes:
@@ -50,8 +51,13 @@ class WaveletMatrix:
 
     @staticmethod
     def build(ids: np.ndarray) -> "WaveletMatrix":
-        width = max(1, int(ids.max()).bit_length()) if len(ids) else 1
-        now = ids.astype(np.uint16 if width <= 16 else np.uint32)
+        counts = np.bincount(ids)
+        order = np.argsort(-counts, kind="stable")
+        symbols = order[: np.count_nonzero(counts)].astype(np.uint32)
+        width = max(1, (len(symbols) - 1).bit_length())
+        codes = np.zeros(len(counts), np.uint16 if width <= 16 else np.uint32)
+        codes[symbols] = np.arange(len(symbols))
+        now = codes.take(ids)
         planes = []
         for k in range(width - 1, -1, -1):
             bit = (now >> now.dtype.type(k)).astype(np.uint8) & 1
@@ -59,7 +65,7 @@ class WaveletMatrix:
             ones = bit.view(bool)
             if k:
                 now = np.concatenate([now[~ones], now[ones]])
-        return WaveletMatrix(planes, len(ids))
+        return WaveletMatrix(symbols, planes, len(ids))
 
     def rank1(self, k: int, i: int) -> int:
         """Ones before bit i of plane k."""
@@ -83,11 +89,15 @@ class WaveletMatrix:
             bit = plane[i >> 3] >> (7 - (i & 7)) & 1
             ones = self.rank1(k, i)
             value, i = value << 1 | int(bit), self.zeros[k] + ones if bit else i - ones
-        return value
+        return int(self.symbols[value])
 
-    def _range(self, value: int, end: int) -> tuple[int, int]:
+    def code(self, symbol: int) -> int | None:
+        at = np.flatnonzero(self.symbols == symbol)
+        return int(at[0]) if len(at) else None
+
+    def _range(self, value: int | None, end: int) -> tuple[int, int]:
         start, depth = 0, len(self.planes)
-        if value >> depth:
+        if value is None:
             return 0, 0
         for k in range(depth):
             a, b = self.rank1(k, start), self.rank1(k, end)
@@ -97,11 +107,12 @@ class WaveletMatrix:
 
     def count(self, value: int, end: int | None = None) -> int:
         """Occurrences of an id before place ``end``."""
-        a, b = self._range(value, self.n if end is None else end)
+        a, b = self._range(self.code(value), self.n if end is None else end)
         return b - a
 
     def locate(self, value: int, n: int) -> int:
         """Place of the n-th occurrence (from 0) of an id."""
+        value = self.code(value)
         a, b = self._range(value, self.n)
         if not 0 <= n < b - a:
             raise IndexError("no such occurrence")
@@ -122,14 +133,14 @@ class WaveletMatrix:
             back[~ones], back[ones] = now[: self.zeros[k]], now[self.zeros[k] :]
             back |= bit.astype(now.dtype) << now.dtype.type(depth - 1 - k)
             now = back
-        return now
+        return self.symbols.take(now)
 
 
 def to_bytes(ids: np.ndarray, doc_ids: list, starts: list[int]) -> bytes:
     matrix = WaveletMatrix.build(ids)
     packer = zstandard.ZstdCompressor(level=1)
-    planes = [packer.compress(p.tobytes()) for p in matrix.planes]
-    head = {"n": len(ids), "doc_ids": doc_ids, "starts": starts, "planes": [len(p) for p in planes]}
+    planes = [packer.compress(p.tobytes()) for p in (matrix.symbols.astype("<u4"), *matrix.planes)]
+    head = {"n": len(ids), "doc_ids": doc_ids, "starts": starts, "blocks": [len(p) for p in planes]}
     return json.dumps(head).encode() + b"\n" + b"".join(planes)
 
 
@@ -137,10 +148,10 @@ def from_bytes(data: bytes) -> tuple[WaveletMatrix, list, list[int]]:
     """The matrix, the documents' ids and the places where they begin."""
     line = data.index(b"\n")
     head, at, planes = json.loads(data[:line]), line + 1, []
-    for size in head["planes"]:
+    for size in head["blocks"]:
         planes.append(np.frombuffer(zstandard.ZstdDecompressor().decompress(data[at : at + size]), np.uint8))
         at += size
-    return WaveletMatrix(planes, head["n"]), head["doc_ids"], head["starts"]
+    return WaveletMatrix(planes[0].view("<u4"), planes[1:], head["n"]), head["doc_ids"], head["starts"]
 
 
 def _files(folder: str):
