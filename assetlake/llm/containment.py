@@ -96,7 +96,8 @@ def retrieve(found: DataFrame, shingled: DataFrame, classes: Sequence[tuple[int,
         .agg(*_signature(bands, rows))
         .select("item_id", "class", _band_keys(bands, rows).alias("band"))
     )
-    return sketch.join(index, ["class", "band"]).select("doc_id", "item_id").distinct()
+    # without the hint the planner might broadcast exploded rows that it takes for few
+    return sketch.join(index.hint("merge"), ["class", "band"]).select("doc_id", "item_id").distinct()
 
 
 def verified(candidates: DataFrame, found: DataFrame, shingled: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

@@ -91,7 +91,7 @@ def _crowd_links(members: DataFrame, probes: DataFrame) -> DataFrame:
     near = probes.filter("flip != 0").withColumn("code", _ball(F.col("other"), 1))
     same = probes.filter("flip = 0").withColumn("code", _ball(F.col("other"), 2))
     guests = near.unionByName(same).select(*at, "fp")
-    return guests.join(leader, at).filter("fp != leader").select(F.col("fp").alias("a"), F.col("leader").alias("b"))
+    return guests.join(leader.hint("merge"), at).filter("fp != leader").select(F.col("fp").alias("a"), F.col("leader").alias("b"))
 
 
 def links(fps: DataFrame) -> DataFrame:
@@ -105,7 +105,7 @@ def links(fps: DataFrame) -> DataFrame:
     small = sized.filter(F.col("size") <= CROWD).select("side", "value", F.col("fp").alias("b"))
     pairs = (
         probes.select("side", "value", F.col("fp").alias("a"))
-        .join(small, ["side", "value"])
+        .join(small.hint("merge"), ["side", "value"])  # the planner takes exploded rows for few
         .filter((F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= REACH))
         .select("a", "b")
     )
@@ -113,7 +113,7 @@ def links(fps: DataFrame) -> DataFrame:
     if big.isEmpty():
         return pairs
     names = big.select("side", "value").distinct()
-    return pairs.unionByName(_crowd_links(big, probes.join(names, ["side", "value"])))
+    return pairs.unionByName(_crowd_links(big, probes.join(names.hint("merge"), ["side", "value"])))
 
 
 def components(fps: DataFrame) -> DataFrame:
