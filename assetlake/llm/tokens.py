@@ -14,7 +14,7 @@ import public_tokenizers
 
 VOCABULARY = "word_bpe_49k.json"
 LONG_WORD = 64  # bytes; a longer word's ids are not kept
-KEPT_WORDS = 1_200_000  # words whose ids a Python worker keeps (about 200 bytes each); then it begins anew
+KEPT_WORDS, KEPT_STEMS = 400_000, 600_000  # entries a Python worker keeps (about 200 bytes each); then it begins anew
 _MARKS = (b".", b",")
 
 _OPEN: dict[str, "WordIds"] = {}
@@ -62,7 +62,7 @@ class WordIds:
         """Ids of each text, without added special tokens."""
         if len(self.known) > KEPT_WORDS:
             self.known = {}
-        if len(self.stems) > KEPT_WORDS:
+        if len(self.stems) > KEPT_STEMS:
             self.stems = {}
         known = self.known
         words = [t.split() for t in texts]
