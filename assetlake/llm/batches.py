@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 
 PIECE_BYTES = 1 << 20  # numpy works on about so much text at once; a longer document makes a piece of its own
+_STEP, _KEPT = 1 << 16, 2 * PIECE_BYTES  # tables of powers grow by steps; a table beyond the bound serves one document
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
@@ -44,13 +45,15 @@ def _powers(seed: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd multiplier modulo 2**64 and of its inverse."""
     have = _POWERS.get(seed)
     if have is None or len(have[0]) < n:
-        size = max(n, 2 * PIECE_BYTES)
+        size = -(-n // _STEP) * _STEP
         out = []
         for base in (_MULTIPLIER[seed], pow(_MULTIPLIER[seed], -1, 1 << 64)):
             factors = np.full(size, base, np.uint64)
             factors[0] = 1
             out.append(np.multiply.accumulate(factors))
-        have = _POWERS[seed] = (out[0], out[1])
+        have = (out[0], out[1])
+        if size <= _KEPT:
+            _POWERS[seed] = have
     return have
 
 
