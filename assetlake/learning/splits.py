@@ -58,8 +58,8 @@ def stratified_split(
 
 
 def class_counts(df: DataFrame, label: str) -> dict:
-    """Rows per class; one small row per class is read back."""
-    return {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
+    """Rows per class, null being none; one small row per class is read back."""
+    return {r[label]: r["n"] for r in df.filter(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
 
 
 def undersample(df: DataFrame, keys: Sequence[str], label: str, seed: int = 42) -> DataFrame:

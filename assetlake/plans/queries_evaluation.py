@@ -351,13 +351,13 @@ def _current():
 _BIN = """CASE WHEN value < 0 THEN 0 WHEN value >= 200 THEN 11 ELSE CAST(floor(value / 20) AS BIGINT) + 1 END"""
 _HISTOGRAMS = f"""
     r AS (SELECT {_BIN} AS bin, count(*) * 1.0 / sum(count(*)) OVER () AS ref_share FROM {{readings}}
-          WHERE reading_time < TIMESTAMP '{_SPLIT_TIME}' AND sensor <> 'view' GROUP BY 1),
+          WHERE reading_time < TIMESTAMP '{_SPLIT_TIME}' GROUP BY 1),
     c AS (SELECT {_BIN} AS bin, count(*) * 1.0 / sum(count(*)) OVER () AS cur_share FROM {{readings}}
           WHERE reading_time >= TIMESTAMP '{_SPLIT_TIME}' GROUP BY 1)"""
 
 
 def _two_periods(t):
-    return t.readings.filter(~_current() & (F.col("sensor") != "view")), t.readings.filter(_current())
+    return t.readings.filter(~_current()), t.readings.filter(_current())
 
 
 @query(

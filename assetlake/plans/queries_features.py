@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 from assetlake.operators import features as feat
 from assetlake.operators import profiling, store
+from assetlake.operators.joins import production_only
 from assetlake.operators.ordering import row_numbers
 from assetlake.plans import medallion
 from assetlake.plans.registry import query
-from assetlake.plans.views import EVENTS_NOW
+from assetlake.plans.views import EVENTS_NOW, LINES_NOW
 from assetlake.session import cut_lineage
 
 READING_ORDER = ["reading_time", "reading_id"]
@@ -63,16 +64,19 @@ def w04(t):
 
 @query(
     "w05_metric_change",
-    """SELECT metric_date, metric_name, metric_value,
-              lag(metric_value) OVER (PARTITION BY metric_name ORDER BY metric_date) AS previous_value,
-              metric_value - lag(metric_value) OVER (PARTITION BY metric_name ORDER BY metric_date) AS change
-       FROM {daily_metrics}""",
+    f"""SELECT model_id, metric_date, metric_name, metric_value,
+               lag(metric_value) OVER (PARTITION BY model_id, metric_name ORDER BY metric_date) AS previous_value,
+               metric_value - lag(metric_value) OVER (PARTITION BY model_id, metric_name ORDER BY metric_date) AS change
+        FROM {{model_metrics}} WHERE model_id IN (SELECT model_id FROM {{models}} WHERE is_production)
+          AND metric_date >= DATE '{LINES_NOW[:10]}' - INTERVAL '30' DAY""",
     floats="metric_value previous_value change",
     dates="metric_date",
     scale=9,
 )
 def w05(t):
-    return feat.change_from_previous(cut_lineage(t.daily_metrics), ["metric_name"], ["metric_date"], "metric_value")
+    first = F.date_sub(F.lit(LINES_NOW[:10]).cast("date"), 30)
+    recent = production_only(t.model_metrics.filter(F.col("metric_date") >= first), t.models)
+    return feat.change_from_previous(cut_lineage(recent), ["model_id", "metric_name"], ["metric_date"], "metric_value")
 
 
 @query(
@@ -212,14 +216,13 @@ def a23(t):
         FROM (SELECT *, row_number() OVER (PARTITION BY equipment_id, sensor ORDER BY reading_time, reading_id)
                      AS day_number
               FROM {{readings}} WHERE reading_time >= TIMESTAMP '{EVENTS_NOW}' - INTERVAL '7' DAY) d
-        GROUP BY equipment_id, sensor HAVING count(*) > 1""",
+        GROUP BY equipment_id, sensor""",
     floats="slope intercept",
     scale=9,
 )
 def a24(t):
     since = F.col("reading_time") >= F.lit(EVENTS_NOW).cast("timestamp_ntz") - F.expr("INTERVAL '7' DAY")
-    trend = feat.linear_trend(_readings(t), ["equipment_id", "sensor"], READING_ORDER, "value", since)
-    return trend.filter("points > 1")
+    return feat.linear_trend(_readings(t), ["equipment_id", "sensor"], READING_ORDER, "value", since)
 
 
 # --- jobs ------------------------------------------------------------------------------------------------

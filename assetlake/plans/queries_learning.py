@@ -14,23 +14,14 @@ KEYS = ["prediction_id"]
 
 
 def labelled(t):
-    """Every prediction row as a training row; the label depends on the features and the recorded outcome."""
-    rows = t.predictions.select(
-        "prediction_id",
-        "equipment_id",
-        "quantity",
-        (F.col("discount") * 100).alias("discount"),
-        (F.col("tax") * 100).alias("tax"),
-        (F.col("p") * 100).alias("price"),
-        F.col("actual").alias("label"),
-    )
-    return rows
+    """Every prediction row as a training row; the label follows two features and the recorded outcome as noise."""
+    return t.training_rows
 
 
 @query(
     "l01_stratified_split",
-    """SELECT actual AS label, sum(CASE WHEN actual IN (0, 1) THEN 1 ELSE 0 END) AS total,
-              floor(0.8::DOUBLE * (count(*) - 1)) + 1 AS train FROM {predictions} GROUP BY actual""",
+    """SELECT label, count(*) AS total, floor(0.8::DOUBLE * (count(*) - 1)) + 1 AS train
+       FROM {training_rows} GROUP BY label""",
     floats="total train",
 )
 def l01(t):
@@ -47,8 +38,8 @@ def l02(t):
 
 @query(
     "l11_undersample",
-    """SELECT actual AS label, (SELECT least(sum(actual), sum(1 - actual)) FROM {predictions}) AS rows
-       FROM {predictions} GROUP BY actual""",
+    """SELECT label, (SELECT least(sum(label), sum(1 - label)) FROM {training_rows}) AS rows
+       FROM {training_rows} GROUP BY label""",
     floats="rows",
 )
 def l11(t):
@@ -57,7 +48,7 @@ def l11(t):
 
 @query(
     "l09_nearest_neighbours",
-    """WITH v AS (SELECT DISTINCT quantity AS a, discount * 100 AS b, tax * 100 AS c FROM {predictions} WHERE actual = 1)
+    """WITH v AS (SELECT DISTINCT quantity AS a, discount AS b, tax AS c FROM {training_rows} WHERE label = 1)
        SELECT x.a, x.b, x.c, quantile_disc(d, 1) AS third FROM (
            SELECT p.a, p.b, p.c, sqrt((p.a - q.a) ** 2 + (p.b - q.b) ** 2 + (p.c - q.c) ** 2) AS d,
                   row_number() OVER (PARTITION BY p.a, p.b, p.c
@@ -76,7 +67,7 @@ def l09n(t):
 
 @query(
     "l09_smote",
-    """SELECT 1 AS label, sum(1 - 2 * actual) AS rows, true AS inside FROM {predictions}""",
+    """SELECT 1 AS label, sum(1 - 2 * label) AS rows, true AS inside FROM {training_rows}""",
     floats="rows",
 )
 def l09(t):

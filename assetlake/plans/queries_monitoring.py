@@ -14,9 +14,15 @@ def _now(text):
     return F.lit(text).cast("timestamp_ntz")
 
 
+_RECENT = f"prediction_timestamp >= TIMESTAMP '{LINES_NOW}' - INTERVAL '30' DAY"
 _PRODUCTION = "model_id IN (SELECT model_id FROM {models} WHERE is_production)"
 
 
+def _recent(t):
+    """Predictions of the last 30 days."""
+    return t.predictions.filter(F.col("prediction_timestamp") >= reports.days_before(_now(LINES_NOW), 30))
+
+
 @query(
     "a01_layer_statistics",
     """SELECT 'raw' AS layer, count(*) AS total_records, count(DISTINCT udi) AS unique_records,
@@ -174,10 +180,10 @@ def a05(t):
     "a06_confusion_matrix",
     f"""SELECT actual, count(CASE WHEN predicted = 0 THEN 1 END) AS predicted_0,
                count(CASE WHEN predicted = 1 THEN 1 END) AS predicted_1, count(*) AS total
-        FROM {{predictions}} WHERE {_PRODUCTION} GROUP BY actual""",
+        FROM {{predictions}} WHERE {_RECENT} AND {_PRODUCTION} GROUP BY actual""",
 )
 def a06(t):
-    return evaluation.confusion_matrix(joins.production_only(t.predictions, t.models))
+    return evaluation.confusion_matrix(joins.production_only(_recent(t), t.models))
 
 
 @query(
@@ -191,8 +197,7 @@ def a06(t):
         FROM {{predictions}} WHERE prediction_timestamp >= TIMESTAMP '{LINES_NOW}' - INTERVAL '30' DAY""",
 )
 def a07(t):
-    since = reports.days_before(_now(LINES_NOW), 30)
-    return evaluation.economic_effect(t.predictions.filter(F.col("prediction_timestamp") >= since))
+    return evaluation.economic_effect(_recent(t))
 
 
 @query(
@@ -237,11 +242,11 @@ _EFFECT = """
     "a10_model_effectiveness",
     f"""SELECT equipment_type, count(*) AS total_predictions, {_EFFECT}
         FROM {{predictions}} p JOIN {{equipment}} e ON p.equipment_id = e.equipment_id
-        WHERE {_PRODUCTION} GROUP BY equipment_type""",
+        WHERE {_RECENT} AND {_PRODUCTION} GROUP BY equipment_type""",
     floats="recall_percent fdr_percent fpr_percent",
 )
 def a10(t):
-    known = joins.production_only(t.predictions.filter(F.col("actual").isNotNull()), t.models)
+    known = joins.production_only(_recent(t).filter(F.col("actual").isNotNull()), t.models)
     return evaluation.model_effectiveness(joins.with_equipment(known, t.equipment, ["equipment_type"]))
 
 
@@ -328,13 +333,17 @@ def j03(t):
                coalesce(m.precision, 0) AS model_precision
         FROM ({_DAILY}) d LEFT JOIN (SELECT metric_date, max(CASE WHEN metric_name = 'recall' THEN metric_value END) AS recall,
              max(CASE WHEN metric_name = 'precision' THEN metric_value END) AS precision
-             FROM {{daily_metrics}} GROUP BY metric_date) m ON d.statistic_date = m.metric_date""",
+             FROM {{model_metrics}} WHERE {_PRODUCTION} GROUP BY metric_date) m ON d.statistic_date = m.metric_date
+        WHERE statistic_date >= DATE '{LINES_NOW[:10]}' - INTERVAL '30' DAY""",
     floats="model_recall model_precision",
     dates="statistic_date",
     scale=9,
 )
 def j04(t):
-    report = joins.quality_report(reports.daily_statistics(t.cleaned), t.daily_metrics)
+    first = F.date_sub(F.lit(LINES_NOW[:10]).cast("date"), 30)
+    daily = reports.daily_statistics(t.cleaned.filter(F.col("cleaned_at") >= first.cast("timestamp_ntz")))
+    metrics = t.model_metrics.filter(F.col("metric_date") >= first)
+    report = joins.quality_report(daily, metrics, t.models.filter("is_production"))
     return report.select("statistic_date", "total_records", "failure_count", "model_recall", "model_precision")
 
 
@@ -527,11 +536,13 @@ def t05(t):
 
 @query(
     "t07_maintenance_priority",
-    f"""SELECT r.equipment_id, r.risk_score, w.tool_wear_min, coalesce(f.days, 0) AS days,
+    f"""WITH w AS (SELECT product_id AS equipment_id, tool_wear_min FROM (SELECT *, row_number() OVER (PARTITION BY product_id
+                       ORDER BY cleaned_at DESC, tool_wear_min DESC NULLS LAST) AS rn FROM {{cleaned}}) x WHERE rn = 1)
+        SELECT r.equipment_id, r.risk_score, w.tool_wear_min, coalesce(f.days, 0) AS days,
                r.risk_score * 5 + CAST(floor(least(w.tool_wear_min, 300) / 3) AS BIGINT) + coalesce(f.days, 0) * 2 AS priority
         FROM (SELECT equipment_id, CASE WHEN predicted = 1 THEN CASE WHEN p > 0.7 THEN 100 WHEN p > 0.5 THEN 75
                      WHEN p > 0.3 THEN 50 ELSE 25 END ELSE 0 END AS risk_score FROM ({_LATEST % "true"}) l) r
-        JOIN {{equipment}} w ON r.equipment_id = w.equipment_id
+        JOIN w ON r.equipment_id = w.equipment_id
         LEFT JOIN (SELECT product_id, date_diff('day', min(CAST(timestamp AS DATE)), DATE '{LINES_NOW[:10]}') AS days
                    FROM {{cleaned}} GROUP BY product_id) f ON r.equipment_id = f.product_id""",
 )
@@ -541,7 +552,7 @@ def t07(t):
     ages = entity_age(seen, "equipment_id", "timestamp", _now(LINES_NOW)).select(
         "equipment_id", F.col("age_days").cast("long").alias("age_days")
     )
-    return reports.maintenance_priority(risk, t.equipment.select("equipment_id", "tool_wear_min"), ages)
+    return reports.maintenance_priority(risk, reports.latest_wear(t.cleaned, "product_id").withColumnRenamed("product_id", "equipment_id"), ages)
 
 
 @query(

@@ -20,9 +20,8 @@ from assetlake.streaming import messages, progress, scoring, sinks, state, windo
 
 
 def _stream(t, table: str) -> DataFrame:
-    """A driver table as a file stream."""
-    schema = getattr(t, table).schema
-    return t.spark.readStream.schema(schema).option("pathGlobFilter", f"{table}.parquet").parquet(t.sf_dir)
+    """A driver table, one file or a folder of files, as a file stream; only a glob may name a single file."""
+    return t.spark.readStream.schema(getattr(t, table).schema).parquet(f"{t.sf_dir}/{table}.parque[t]")
 
 
 def _instant(column: str):
@@ -207,12 +206,9 @@ def s07(t):
 def x13(t):
     train, _ = stratified_split(cut_lineage(labelled(t)), KEYS, "label")
     model = models.fit(train, models.logistic_regression(FEATURES))
-    rows = t.spark.sql(
-        """SELECT concat(CAST(l_orderkey AS STRING), '-', CAST(l_linenumber AS STRING)) AS equipment_id,
-                  l_quantity AS quantity, l_discount * 100 AS discount, l_tax * 100 AS tax,
-                  l_extendedprice / 1050 AS price FROM {lines}""",
-        lines=_stream(t, "lineitem"),
-    )
+    raw = t.spark.sql(VIEWS["scores"], lineitem=_stream(t, "lineitem"))
+    rows = t.spark.sql(VIEWS["training_rows"], predictions=t.spark.sql(VIEWS["predictions"], scores=raw))
+    rows = rows.drop("equipment_id", "label").withColumnRenamed("prediction_id", "equipment_id")
     scored = scoring.score_stream(model, rows)
     return _collect(t, scored.select("equipment_id", "failure_probability", "predicted_failure", "alert_level"))
 

@@ -63,13 +63,17 @@ VIEWS = {
                0.6 * l_extendedprice / 105000 + CASE WHEN l_returnflag = 'R' THEN 0.35 ELSE 0.05 END AS p,
                CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS actual,
                40.0 + l_tax * 300 AS inference_time_ms, CAST(l_orderkey AS STRING) AS batch_id,
-               l_quantity AS quantity, l_discount AS discount, l_tax AS tax
+               l_quantity AS quantity, l_discount AS discount, l_tax AS tax, l_extendedprice / 1050 AS price
         FROM {lineitem}""",
     "predictions": """
         SELECT prediction_id, equipment_id, model_id, prediction_timestamp, p, p AS failure_probability,
                CASE WHEN p >= 0.5 THEN 1 ELSE 0 END AS predicted, actual, inference_time_ms, batch_id,
-               quantity, discount, tax
+               quantity, discount, tax, price
         FROM {scores}""",
+    "training_rows": """
+        SELECT prediction_id, equipment_id, quantity, discount * 100 AS discount, tax * 100 AS tax, price,
+               CASE WHEN 0.007 * price + 0.006 * quantity + 0.3 * actual > 0.8 THEN 1 ELSE 0 END AS label
+        FROM {predictions}""",
     "models": """
         SELECT CAST(s_suppkey AS STRING) AS model_id, s_name AS model_name,
                concat('v', CAST(s_nationkey AS STRING)) AS model_version,
@@ -92,13 +96,16 @@ VIEWS = {
         FROM {orders}""",
     "model_outcomes": """
         SELECT CAST(prediction_timestamp AS DATE) AS metric_date, model_id, sum(actual * predicted) AS tp,
-               sum((1 - actual) * predicted) AS fp, sum(actual) AS pos, sum(1 - actual) AS neg
+               sum((1 - actual) * predicted) AS fp, sum(actual) AS pos, sum(1 - actual) AS neg,
+               sum(predicted) AS claimed
         FROM {predictions} GROUP BY CAST(prediction_timestamp AS DATE), model_id""",
     "model_metrics": """
         SELECT metric_date, model_id, 'recall' AS metric_name, CAST(tp AS DOUBLE) / pos AS metric_value
         FROM {model_outcomes} WHERE pos > 0
         UNION ALL
-        SELECT metric_date, model_id, 'fpr', CAST(fp AS DOUBLE) / neg FROM {model_outcomes} WHERE neg > 0""",
+        SELECT metric_date, model_id, 'fpr', CAST(fp AS DOUBLE) / neg FROM {model_outcomes} WHERE neg > 0
+        UNION ALL
+        SELECT metric_date, model_id, 'precision', CAST(tp AS DOUBLE) / claimed FROM {model_outcomes} WHERE claimed > 0""",
     "daily_outcomes": """
         SELECT CAST(prediction_timestamp AS DATE) AS metric_date, sum(actual * predicted) AS tp,
                sum((1 - actual) * predicted) AS fp, sum(actual) AS pos, sum(1 - actual) AS neg,
