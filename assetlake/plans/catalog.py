@@ -8,6 +8,7 @@ from assetlake.plans import (  # noqa: F401
     queries_rules,
     queries_store,
     queries_streaming,
+    queries_tables,
 )
 from assetlake.plans.registry import REGISTRY
 

@@ -30,7 +30,16 @@ def l01(t):
     return both.groupBy("label").agg(F.count(F.lit(1)).alias("total"), F.sum("side").alias("train"))
 
 
-@query("l02_stratified_folds")
+@query(
+    "l02_stratified_folds",
+    """WITH n AS (SELECT label, count(*) AS total FROM {training_rows} GROUP BY label),
+            upto AS (SELECT label, f AS fold, CASE WHEN f = 4 THEN total
+                            ELSE floor((f + 1) / 5::DOUBLE * (total - 1)) + 1 END AS upto
+                     FROM n, generate_series(0, 4) g(f))
+       SELECT label, CAST(fold AS INT) AS fold,
+              upto - coalesce(lag(upto) OVER (PARTITION BY label ORDER BY fold), 0) AS rows FROM upto""",
+    floats="rows",
+)
 def l02(t):
     folded = splits.with_fold(labelled(t), KEYS, "label", 5)
     return folded.groupBy("label", "fold").agg(F.count(F.lit(1)).alias("rows"))

@@ -318,14 +318,11 @@ def p19(t):
               vibration * vibration AS vibration_energy,
               rotation_speed / (power_consumption + 1e-10) AS efficiency,
               temperature / (vibration + 1e-10) AS temperature_vibration_ratio
-       FROM {sensor_messages} WHERE vibration > 0 AND power_consumption > 0""",
-    floats="temperature_pressure_ratio vibration_energy efficiency temperature_vibration_ratio",
-    scale=9,
+       FROM {sensor_messages}""",
 )
 def p20(t):
-    measurable = t.sensor_messages.filter("vibration > 0 AND power_consumption > 0")
     new = {**feat.sensor_ratio_columns(), **feat.simulator_ratio_columns(scale=None)}
-    return measurable.withColumns(new).select("message_id", *new)
+    return t.sensor_messages.withColumns(new).select("message_id", *new)
 
 
 @query(

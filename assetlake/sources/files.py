@@ -68,7 +68,7 @@ def load_batch(
         written = spark.read.parquet(table_path).filter(F.col("batch_id") == batch).count()
         _audit(spark, audit_path, **common, status="completed", file_size=size, records_count=written)
     except Exception as error:
-        _audit(spark, audit_path, **common, status="failed", error_message=str(error)[:2000])
+        _audit(spark, audit_path, **common, status="failed", error_message=str(error))
         raise
     return batch
 
