@@ -57,6 +57,12 @@ def _powers(seed: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     return have
 
 
+def release_powers() -> None:
+    """Forget the tables of powers that tasks of earlier steps left in this Python worker."""
+    _POWERS.clear()
+    pa.default_memory_pool().release_unused()
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     h = h ^ (h >> np.uint64(32))
     h = h * np.uint64(0xD6E8FEB86659FD93)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from assetlake.llm.batches import byte_texts, pieces
+from assetlake.llm.batches import byte_texts, pieces, release_powers
 from assetlake.llm.storage import written
 from assetlake.llm.tokens import check_words, default_path, opened
 from assetlake.session import shuffle_partitions
@@ -150,6 +150,7 @@ def cut(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_powers()  # deduplication before it leaves them
         encoder, made = opened(path), 0
         for batch in batches:
             ids, values = batch.column(0).to_pylist(), byte_texts(batch.column(1))

@@ -27,6 +27,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from assetlake.llm.batches import Words, byte_texts, pieces
 from assetlake.llm.storage import written
+from assetlake.llm.tokens import release
 
 SAMPLE_ROWS = 20_000
 TREES, DEPTH, LASSO = 20, 3, 0.002
@@ -77,6 +78,7 @@ def text_statistics(values: list[bytes]) -> np.ndarray:
 
 
 def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    release()  # a worker that packed before holds up to a few hundred MB of words
     for batch in batches:
         values = byte_texts(batch.column(1))
         parts = [text_statistics(values[lo:hi]) for lo, hi in pieces(values)]

@@ -11,6 +11,7 @@ import os
 from array import array
 
 import public_tokenizers
+import pyarrow as pa
 
 VOCABULARY = "word_bpe_49k.json"
 LONG_WORD = 64  # bytes; a longer word's ids are not kept
@@ -87,6 +88,12 @@ def opened(path: str) -> WordIds:
     return _OPEN[path]
 
 
+def release() -> None:
+    """Forget the encoders, with the words they keep, that tasks of earlier steps left in this Python worker."""
+    _OPEN.clear()
+    pa.default_memory_pool().release_unused()
+
+
 def check_words(path: str) -> None:
     """Raise unless the file's tokenizer drops white space and splits it off before merging."""
     import json
