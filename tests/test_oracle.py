@@ -10,6 +10,7 @@ from tools.check_oracle import canonical
 SF = "/root/testdata/sf0.001"
 QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
 SAMPLE = [n for n in ORACLES if n.startswith(("a0", "a2", "a3", "a4", "j", "m0", "p1", "t0", "u0", "w0", "x05_sl", "x08_th"))]
+SAMPLE += [n for n in ORACLES if n.startswith(("s01", "s04", "s08", "s10", "s03_s12", "m14", "m15", "m18", "m20", "p20", "w10", "x02"))]
 
 
 @pytest.fixture(scope="module")
