@@ -250,6 +250,21 @@ def test_chat_events(spark):
         assert chat.unescape(chat.escape(text)) == text and "<|" not in chat.escape(text)
 
 
+def test_chat_turn_numbers(spark):
+    """Null, tied and very large turn numbers, and null conversations, keep all their turns in order."""
+    big = 2**62
+    turns = [(1, big, "user", "d"), (1, 0, "user", "b"), (1, 0, "user", "b"), (1, 0, "assistant", "a"), (1, None, "user", "n"), (1, big + 1, "user", "e"), (1, -big, "user", "m"), (None, 0, "user", "x")]
+    frame = spark.createDataFrame(turns, "conv_id bigint, turn bigint, role string, text string").repartition(3)
+    got = {r["conv_id"]: r for r in chat.read_back(chat.format_log(chat.events_of(frame))).collect()}
+    ordered = ["user\nn", "user\nm", "assistant\na", "user\nb", "user\nb", "user\nd", "user\ne"]
+    assert got[1]["n_turns"] == 7 and got[None]["n_turns"] == 1
+    assert got[1]["turns_sha256"] == hashlib.sha256("".join(f"{t}\n" for t in ordered).encode()).hexdigest()
+    log = [(1, number, rank, 0, "start", "user", f"{number}.{rank}") for number, rank in ((0, 1_000_000), (1, 0), (0, 2))]
+    frame = spark.createDataFrame(log, "conv_id bigint, message bigint, rank bigint, seq bigint, kind string, role string, text string")
+    rows = chat.format_log(frame).orderBy("message", "rank").collect()
+    assert [chat.parse(r["formatted"])[1] for r in rows] == ["0.2", "0.1000000", "1.0"]
+
+
 def test_quality(spark, awkward, empty):
     sf = "/root/testdata/sf0.01"
     got = {r["doc_id"]: r for r in QUERIES["op7_quality"](spark, sf).collect()}
