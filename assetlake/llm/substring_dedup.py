@@ -18,7 +18,7 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from assetlake.llm.batches import Words, byte_texts, gram_hashes, inside, pieces, sliding
@@ -28,8 +28,8 @@ WINDOW, PHRASE = 20, 8
 BLOCK_BYTES = 8 << 20  # text of a block of documents; an automaton holds one block's phrases
 LAST = np.uint64(2**64 - 1)
 
-FOUND = "kind int, doc_id bigint, row int, hash bigint, more int, place int, text string, n_words int, spans binary, sha string"
-DONE = "doc_id bigint, row int, text string, n_words bigint, n_removed bigint, kept_sha256 string"
+FOUND = "kind int, doc_id bigint, row int, digest bigint, copy int, hash bigint, more int, place int, text string, n_words int, spans binary, sha string"
+DONE = "doc_id bigint, row int, digest bigint, copy int, text string, n_words bigint, n_removed bigint, kept_sha256 string"
 
 
 def chosen(grams: np.ndarray, whole: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray]:
@@ -108,8 +108,11 @@ def _runs(flags: np.ndarray) -> np.ndarray:
 
 def _locate(docs: pa.Table, phrases: pa.Table) -> pa.Table:
     """Candidate windows of a block's documents, each window once at its first place, and the documents' rows."""
-    order = sorted(zip(docs.column("doc_id").to_pylist(), byte_texts(docs.column("text").combine_chunks())), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
-    values = [text for _, text in order]
+    order = sorted(
+        zip(docs.column("doc_id").to_pylist(), byte_texts(docs.column("text").combine_chunks()), docs.column("digest").to_pylist()),
+        key=lambda r: (r[0] is not None, r[0] or 0, r[1], r[2] or 0),
+    )
+    values = [text for _, text, _ in order]
     recurring = np.unique(phrases.column("hash").to_numpy().view(np.uint64))
     found: list[tuple] = []  # (lo, hi, words, grams, least, whole)
     patterns: dict[tuple, None] = {}
@@ -126,9 +129,9 @@ def _locate(docs: pa.Table, phrases: pa.Table) -> pa.Table:
                     patterns[tuple(raw[a:b] for a, b in zip(words.starts[i : i + PHRASE].tolist(), words.ends[i : i + PHRASE].tolist()))] = None
     machine = Automaton(list(patterns))
     del patterns
-    rows: dict[str, list] = {k: [] for k in ("doc_id", "row", "text", "n_words", "spans", "sha")}
+    rows: dict[str, list] = {k: [] for k in ("doc_id", "row", "digest", "copy", "text", "n_words", "spans", "sha")}
     win: dict[str, list] = {k: [] for k in ("doc_id", "row", "hash", "more", "place")}
-    place, previous, number = 0, None, 0
+    place, previous, number, copy = 0, None, 0, 0
     for lo, hi in pieces(values):
         words = Words(values[lo:hi])
         flags = np.zeros(len(words.starts), bool)  # phrases located
@@ -148,14 +151,18 @@ def _locate(docs: pa.Table, phrases: pa.Table) -> pa.Table:
             candidate = whole & (located == least)
             window, second = gram_hashes(hashes, WINDOW, 20), gram_hashes(hashes, WINDOW, 1)
         for k in range(hi - lo):
-            doc_id, text = order[lo + k]
+            doc_id, text, digest = order[lo + k]
             if lo + k == 0 or doc_id != previous:
-                place, number = 0, 0
+                place, number, copy = 0, 0, 0
+            else:
+                copy = copy + 1 if digest == order[lo + k - 1][2] else 0
             previous = doc_id
             a, b = int(words.first[k]), int(words.first[k + 1])
             own = candidate[a : max(a, b - WINDOW + 1)]
             rows["doc_id"].append(doc_id)
             rows["row"].append(number)
+            rows["digest"].append(digest)
+            rows["copy"].append(copy)
             rows["n_words"].append(b - a)
             if own.any():
                 at = np.flatnonzero(own)
@@ -176,6 +183,7 @@ def _locate(docs: pa.Table, phrases: pa.Table) -> pa.Table:
     n = len(rows["doc_id"])
     out = pa.table({
         "kind": pa.array([0] * n, pa.int32()), "doc_id": pa.array(rows["doc_id"], pa.int64()), "row": pa.array(rows["row"], pa.int32()),
+        "digest": pa.array(rows["digest"], pa.int64()), "copy": pa.array(rows["copy"], pa.int32()),
         "hash": pa.nulls(n, pa.int64()), "more": pa.nulls(n, pa.int32()), "place": pa.nulls(n, pa.int32()),
         "text": pa.array(rows["text"], pa.string()), "n_words": pa.array(rows["n_words"], pa.int32()),
         "spans": pa.array(rows["spans"], pa.binary()), "sha": pa.array(rows["sha"], pa.string()),
@@ -191,6 +199,7 @@ def _locate(docs: pa.Table, phrases: pa.Table) -> pa.Table:
     m = int(new.sum())
     windows = pa.table({
         "kind": pa.array([1] * m, pa.int32()), "doc_id": pa.array(part["doc_id"][new], pa.int64(), mask=nulls[new]), "row": pa.nulls(m, pa.int32()),
+        "digest": pa.nulls(m, pa.int64()), "copy": pa.nulls(m, pa.int32()),
         "hash": pa.array(part["hash"][new]), "more": pa.array(part["more"][new]), "place": pa.array(part["place"][new]),
         "text": pa.nulls(m, pa.string()), "n_words": pa.nulls(m, pa.int32()), "spans": pa.nulls(m, pa.binary()), "sha": pa.nulls(m, pa.string()),
     })
@@ -221,22 +230,28 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             out["sha"].append(hashlib.sha256(joined).hexdigest())
             out["text"].append(joined.decode("utf-8", "surrogatepass") if len(kept) < len(words) else None)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("row"), pa.array(out["text"], pa.string()), batch.column("n_words").cast(pa.int64()), pa.array(out["n_removed"], pa.int64()), pa.array(out["sha"], pa.string())],
-            ["doc_id", "row", "text", "n_words", "n_removed", "kept_sha256"],
+            [batch.column("doc_id"), batch.column("row"), batch.column("digest"), batch.column("copy"), pa.array(out["text"], pa.string()), batch.column("n_words").cast(pa.int64()), pa.array(out["n_removed"], pa.int64()), pa.array(out["sha"], pa.string())],
+            ["doc_id", "row", "digest", "copy", "text", "n_words", "n_removed", "kept_sha256"],
         )
 
 
+def text_digest(text: Column) -> Column:
+    """A 64-bit hash of a text, null as empty; tells rows of one doc_id apart."""
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
+
+
 def remove_repeats(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Rows of ``docs`` (doc_id, text) without repeated passages.
 
-    Returns doc_id, row (from 0 among the rows of one doc_id), text (the kept words joined by one space; null where no word went), n_words, n_removed,
+    Returns doc_id, row (from 0 among the rows of one doc_id), digest (xxhash64 of the text), copy (from 0 among the rows of one doc_id and text), text (the kept words joined by one space; null where no word went), n_words, n_removed,
     kept_sha256; one row for each input row.
     """
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-size // block_bytes))
     base = docs.select(
-        F.pmod(F.xxhash64(F.col("doc_id")), F.lit(blocks)).cast("int").alias("block"), F.col("text").cast("string").alias("text"), F.col("doc_id").cast("bigint").alias("doc_id")
-    )
+        F.pmod(F.xxhash64(F.col("doc_id")), F.lit(blocks)).cast("int").alias("block"), F.col("text").cast("string").alias("text"), F.col("doc_id").cast("bigint").alias("doc_id"),
+        text_digest(F.col("text")).alias("digest"),
+    )
     phrases = base.select("block", "text").mapInArrow(_phrases, "hash bigint, block int, n int")
     recurring = (
         phrases.withColumn("total", F.sum("n").over(Window.partitionBy("hash"))).filter("total > 1").select("block", "hash")
@@ -254,8 +269,8 @@ def remove_repeats(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame
     )
     rows = found.filter("kind = 0")
     hit = rows.filter("spans is not null").withColumn("owner", F.coalesce("doc_id", F.lit(-(2**63))))
-    changed = hit.join(first, "owner", "left").select("doc_id", "row", "text", "n_words", "spans", "first").mapInArrow(_remove, DONE)
+    changed = hit.join(first, "owner", "left").select("doc_id", "row", "digest", "copy", "text", "n_words", "spans", "first").mapInArrow(_remove, DONE)
     clean = rows.filter("spans is null").select(
-        "doc_id", "row", F.lit(None).cast("string").alias("text"), F.col("n_words").cast("bigint"), F.lit(0).cast("bigint").alias("n_removed"), F.col("sha").alias("kept_sha256")
+        "doc_id", "row", "digest", "copy", F.lit(None).cast("string").alias("text"), F.col("n_words").cast("bigint"), F.lit(0).cast("bigint").alias("n_removed"), F.col("sha").alias("kept_sha256")
     )
     return clean.unionByName(changed)
