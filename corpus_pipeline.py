@@ -1,16 +1,16 @@
 """From raw documents to packed training sequences: quality, near copies, repeated passages, test items, packing.
 
 A stage takes (spark, docs, sf_dir) and returns the next stage's documents, in the columns of ``docs``; the last one
-returns the packed pieces. Each works on all its predecessor kept. Rows with null doc_id are judged like others by
-quality, near copies and repeated passages, and are never taken for contaminated.
+returns the packed pieces. Each works on all its predecessor kept. Rows with null doc_id and rows that share a doc_id are
+judged like others.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from assetlake.llm import decontaminate, near, packing, rules, simhash, substring_dedup
+from assetlake.llm import decontaminate, packing, rules, simhash, substring_dedup
 from assetlake.llm.storage import table, written
 
 ORACLE_SQL = None  # the classifier is fitted; tests/llm compares every stage with brute force
@@ -24,43 +24,40 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return rules.classify(held, model).filter("predicted = 1").select("doc.*")
 
 
-def _numbered(docs: DataFrame) -> DataFrame:
-    """docs as a struct with its doc_id and the row's number among the rows of that doc_id, in order of text."""
-    held = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
-    order = Window.partitionBy("_id").orderBy("_text")
-    return held.select("doc", F.col("doc.doc_id").cast("bigint").alias("_id"), F.coalesce(F.col("doc.text").cast("string"), F.lit("")).alias("_text")).withColumn("_row", F.row_number().over(order) - 1)
-
-
 def _held(docs: DataFrame) -> DataFrame:
     """docs as a struct with a number of the row, written so that the numbers stay."""
     held = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
     return written(docs.select(F.monotonically_increasing_id().alias("_row"), held), "rows")
 
 
-def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each class of op5: the one with the smallest doc_id; rows with null doc_id stay."""
-    rows = _held(docs)
-    classes = simhash.near_duplicates(rows.select(F.col("_row").alias("doc_id"), "doc.text"))
-    known = rows.select("_row", F.col("doc.doc_id").alias("_id"), F.xxhash64("doc.text").alias("_digest")).filter("_id is not null")
-    best = F.min(F.struct("_id", "_digest", "_row"))
-    named = known.join(classes.select(F.col("doc_id").alias("_row"), "component_id"), "_row")
-    kept = named.groupBy("component_id").agg(best.alias("best")).select("best._row")
-    return rows.join(kept.unionByName(rows.filter("doc.doc_id is null").select("_row")), "_row", "left_semi").select("doc.*")
+_KEY = ["id", "no_id", "digest"]
 
 
-def near_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each class of near copies: Jaccard similarity 0.8 or more of five-word shingles (see ``near``)."""
+def _key(doc_id: Column) -> list[Column]:
+    return [F.coalesce(doc_id, F.lit(0)).alias("id"), doc_id.isNull().alias("no_id")]
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each class of op5: the one with the smallest doc_id, null last; a class is of rows, also of rows of one id."""
     rows = _held(docs)
-    kept = near.first_of_classes(rows.select("_row", "doc.doc_id", "doc.text"))
-    return rows.join(kept, "_row", "left_semi").select("doc.*")
+    classes = simhash.near_duplicates(rows.select(F.col("_row").alias("doc_id"), "doc.text"))
+    ids = rows.select("_row", F.col("doc.doc_id").alias("_id"), F.xxhash64("doc.text").alias("_digest"))
+    named = written(ids.join(classes.select(F.col("doc_id").alias("_row"), "component_id"), "_row"), "row-classes")
+    best = named.groupBy("component_id").agg(F.min(F.struct(F.col("_id").isNull(), "_id", "_digest", "_row")).alias("best"))
+    others = written(named.join(best, "component_id").filter("_row != best._row").select("_row"), "near-copies")
+    return rows.join(others, "_row", "left_anti").select("doc.*")
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without words of passages that occur earlier; n_chars, if there, follows the text."""
     cut = substring_dedup.remove_repeats(docs).filter("n_removed > 0")
-    cut = cut.select(F.col("doc_id").alias("_id2"), F.col("row").alias("_row2"), F.col("text").alias("_new"))
-    rows = _numbered(docs)
-    joined = rows.join(cut, rows["_id"].eqNullSafe(cut["_id2"]) & (rows["_row"] == cut["_row2"]), "left")
+    texts = F.collect_set(F.struct((F.col("copy") > 0).alias("later"), F.col("text").alias("new")))  # later copies are cut alike
+    keyed = cut.select(*_key(F.col("doc_id")), "digest", "copy", "text").groupBy(*_KEY).agg(texts.alias("cuts"))
+    held = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    held = held.select("doc", *_key(F.col("doc.doc_id").cast("bigint")), substring_dedup.text_digest(F.col("doc.text")).alias("digest"))
+    copies = held.withColumn("later", F.row_number().over(Window.partitionBy(*_KEY).orderBy("digest")) > 1)  # any order of equal rows
+    joined = copies.join(keyed, _KEY, "left")
+    joined = joined.withColumn("_new", F.get(F.filter("cuts", lambda c: c["later"] == F.col("later")), 0)["new"])
     changed = F.coalesce(F.col("_new"), F.col("doc.text"))
     out = []
     for c in docs.columns:
@@ -74,9 +71,12 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def test_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that contain no test item."""
-    found = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark"))
-    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """Documents that contain no test item; each row is judged by itself, under a hash of its id and text."""
+    held = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    rows = held.withColumn("_row", F.xxhash64(F.col("doc.doc_id"), F.col("doc.text")))
+    found = decontaminate.contaminated(rows.select(F.col("_row").alias("doc_id"), "doc.text"), table(spark, sf_dir, "benchmark"))
+    hit = written(found.select(F.col("doc_id").alias("_row")).distinct(), "contaminated")
+    return rows.join(hit, "_row", "left_anti").select("doc.*")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -88,7 +88,7 @@ test_items.__test__ = False  # a stage, not a test
 
 STAGES = [
     ("quality_classifier", quality),
-    ("simhash_near_dedup", near_texts),
+    ("simhash_near_dedup", near_copies),
     ("substring_dedup", repeated_passages),
     ("benchmark_decontamination", test_items),
     ("best_fit_packing", pack),
