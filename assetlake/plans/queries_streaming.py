@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from assetlake.learning import models
 from assetlake.learning.splits import stratified_split
+from assetlake.operators import validation as val
 from assetlake.operators.tables import latest_per_key
 from assetlake.plans.queries_learning import FEATURES, KEYS, labelled
 from assetlake.plans.queries_rules import _SENSOR_REASONS
@@ -19,9 +20,15 @@ from assetlake.session import checkpoint_dir, cut_lineage
 from assetlake.streaming import messages, progress, scoring, sinks, state, windows
 
 
+FILES_PER_TRIGGER = 1000  # files of a micro-batch
+DISORDER = "31 days"  # how late a reading of a table may come: its files are in no order of time
+END = "2030-01-01 00:00:00"  # time of the marker that ends a bounded stream, beyond every reading and its delay
+
+
 def _stream(t, table: str) -> DataFrame:
     """A driver table, one file or a folder of files, as a file stream; only a glob may name a single file."""
-    return t.spark.readStream.schema(getattr(t, table).schema).parquet(f"{t.sf_dir}/{table}.parque[t]")
+    reader = t.spark.readStream.schema(getattr(t, table).schema).option("maxFilesPerTrigger", FILES_PER_TRIGGER)
+    return reader.parquet(f"{t.sf_dir}/{table}.parque[t]")
 
 
 def _instant(column: str):
@@ -40,6 +47,20 @@ def _collect(t, stream: DataFrame, mode: str = "append") -> DataFrame:
     return t.spark.read.schema(stream.schema).parquet(f"{base}/out")
 
 
+def _collect_closed(t, rows: DataFrame, operator) -> DataFrame:
+    """Output of ``operator`` over a bounded stream of rows with event_time, after a last row has moved the watermark past all."""
+    base = _folder(t)
+    t.spark.createDataFrame([], rows.schema).write.parquet(f"{base}/marker")
+    marked = rows.unionByName(t.spark.readStream.schema(rows.schema).parquet(f"{base}/marker"))
+    stream = operator(marked)
+    sinks.run_available(stream, f"{base}/state", path=f"{base}/out")
+    # no nulls: a filter that Spark moves below the watermark must not take the marker
+    last = t.spark.range(1).select(*[F.lit(END if f.name == "event_time" else "0").cast(f.dataType).alias(f.name) for f in rows.schema])
+    last.write.mode("append").parquet(f"{base}/marker")
+    sinks.run_available(stream, f"{base}/state", path=f"{base}/out")
+    return t.spark.read.schema(stream.schema).parquet(f"{base}/out")
+
+
 def _series(t) -> DataFrame:
     return _stream(t, "events").select(
         F.col("event_type").alias("equipment_id"), F.lit("value").alias("sensor"), "value", _instant("ts").alias("event_time")
@@ -63,48 +84,81 @@ def _sensor_stream(t) -> DataFrame:
     return messages.parse(written)
 
 
-_CLOSED = "window_end <= (SELECT max(reading_time) FROM {readings})"
+def _windows(t) -> DataFrame:
+    return _collect_closed(t, _series(t), lambda rows: windows.stream_statistics(rows, "1 day", "6 hours", DISORDER))
 
 
 @query(
     "x05_stream_statistics",
-    f"""WITH {_SLIDING} SELECT equipment_id, sensor, window_start, window_end, count, mean, median, std, min, max, range
-        FROM a WHERE {_CLOSED}""",
+    f"""WITH {_SLIDING} SELECT equipment_id, sensor, window_start, window_end, count, mean, median, std, min, max, range FROM a""",
     floats="mean median std min max range",
     times="window_start window_end",
     scale=9,
 )
 def x05(t):
-    closed = windows.stream_statistics(_series(t), "1 day", "6 hours", delay="0 seconds")
-    return _collect(t, closed.drop("anomalies", "anomaly_count"))
+    return _windows(t).drop("anomalies", "anomaly_count")
 
 
 @query(
     "x06_stream_anomalies",
-    f"""WITH {_SLIDING} SELECT s.equipment_id, s.window_start, count(*) AS anomaly_count
+    f"""WITH {_SLIDING} SELECT s.equipment_id, s.window_start, count(*) AS anomaly_count, max(s.value) AS largest
         FROM s JOIN a ON s.equipment_id = a.equipment_id AND s.window_start = a.window_start
-        WHERE a.std > 0 AND abs(s.value - a.mean) > 3 * a.std AND {_CLOSED} GROUP BY 1, 2""",
+        WHERE a.std > 0 AND abs(s.value - a.mean) > 3 * a.std GROUP BY 1, 2""",
+    floats="largest",
     times="window_start",
 )
 def x06(t):
-    closed = windows.stream_statistics(_series(t), "1 day", "6 hours", delay="0 seconds")
-    found = _collect(t, closed.select("equipment_id", "window_start", "anomaly_count"))
-    return found.filter("anomaly_count > 0").withColumn("anomaly_count", F.col("anomaly_count").cast("long"))
+    found = _windows(t).filter("anomaly_count > 0")
+    return found.select("equipment_id", "window_start", F.col("anomaly_count").cast("long").alias("anomaly_count"), F.array_max("anomalies").alias("largest"))
 
 
 @query(
     "x08_stream_alerts",
     f"""WITH {_SLIDING} SELECT equipment_id, window_start, max AS value,
                CASE WHEN max >= 400 THEN 'critical' ELSE 'warning' END AS level
-        FROM a WHERE max >= 300 AND {_CLOSED}""",
+        FROM a WHERE max >= 300""",
     floats="value",
     times="window_start",
 )
 def x08(t):
-    alerts = windows.threshold_alerts(
-        windows.stream_statistics(_series(t), "1 day", "6 hours", delay="0 seconds"), LIMITS
+    def alerts(rows):
+        raised = windows.threshold_alerts(windows.stream_statistics(rows, "1 day", "6 hours", DISORDER), LIMITS)
+        return raised.select("equipment_id", "window_start", "value", "level")
+
+    return _collect_closed(t, _series(t), alerts)
+
+
+# readings arrive on four dates; every seventh comes one date late, every eleventh two
+_ARRIVALS = """CAST(floor(extract(day FROM reading_time) / 8) AS INT)
+               + CASE WHEN reading_id % 11 = 0 THEN 2 WHEN reading_id % 7 = 0 THEN 1 ELSE 0 END"""
+
+
+@query(
+    "x10_late_and_evicted",
+    f"""WITH r AS (SELECT sensor, reading_time, value, {_ARRIVALS} AS arrival FROM {{readings}}),
+             tops AS (SELECT arrival, max(reading_time) AS top FROM r GROUP BY arrival),
+             marks AS (SELECT a.arrival, max(b.top) - INTERVAL '6' HOUR AS mark FROM tops a LEFT JOIN tops b ON b.arrival < a.arrival GROUP BY a.arrival),
+             last AS (SELECT max(top) - INTERVAL '6' HOUR AS mark FROM tops),
+             judged AS (SELECT r.*, coalesce(reading_time + INTERVAL '5' DAY <= marks.mark, false) AS late FROM r JOIN marks USING (arrival))
+        SELECT sensor, reading_time AS event_time, value, CASE WHEN late THEN 'late' ELSE 'kept' END AS status FROM judged
+        UNION ALL SELECT sensor, reading_time, value, 'evicted' FROM judged, last
+        WHERE NOT late AND reading_time + INTERVAL '5' DAY <= last.mark""",
+    floats="value",
+    times="event_time",
+)
+def x10(t):
+    base = _folder(t)
+    dated = t.readings.select(
+        F.col("sensor").alias("equipment_id"), F.lit("value").alias("sensor"), "value", _instant("reading_time").alias("event_time"), F.expr(_ARRIVALS).alias("arrival")
     )
-    return _collect(t, alerts.select("equipment_id", "window_start", "value", "level"))
+    rows = dated.drop("arrival")
+    t.spark.createDataFrame([], rows.schema).write.parquet(f"{base}/in")
+    stream = state.held_readings(t.spark.readStream.schema(rows.schema).parquet(f"{base}/in"), 5 * 86_400_000, "6 hours")
+    for arrival in range(6):  # a micro-batch for each date, the state carried over
+        dated.filter(F.col("arrival") == arrival).select(*rows.columns).write.mode("append").parquet(f"{base}/in")
+        sinks.run_available(stream, f"{base}/state", path=f"{base}/out")
+    out = t.spark.read.schema(stream.schema).parquet(f"{base}/out")
+    return out.select(F.col("equipment_id").alias("sensor"), "event_time", "value", "status")
 
 
 @query(
@@ -155,7 +209,7 @@ def x07(t):
     rows = _stream(t, "events").select(
         F.col("user_id").cast("string").alias("equipment_id"), _instant("ts").alias("event_time"), "value"
     )
-    return _collect(t, state.with_history(rows, ["value"])).drop("value")
+    return _collect_closed(t, rows, lambda readings: state.with_history(readings, ["value"], DISORDER)).drop("value")
 
 
 @query(
@@ -202,15 +256,41 @@ def s07(t):
     return counts
 
 
-@query("x13_stream_scoring")
+_CACHED = ["quantity", "discount", "tax"]
+
+
+def _apart(left: str, right: str):
+    return F.col(left).isNull() | F.col(right).isNull() | (F.abs(F.col(left) - F.col(right)) > 1e-9)
+
+
+def _scoring_stream(t):
+    raw = t.spark.sql(VIEWS["scores"], lineitem=_stream(t, "lineitem"))
+    return t.spark.sql(VIEWS["training_rows"], predictions=t.spark.sql(VIEWS["predictions"], scores=raw))
+
+
+@query("x13_stream_scoring", "SELECT count(*) AS n, 0 AS differing, count(DISTINCT prediction_id) AS ids FROM {training_rows}")
 def x13(t):
+    """Rows scored by the stream, compared one by one with the scores of the same model in batch."""
     train, _ = stratified_split(cut_lineage(labelled(t)), KEYS, "label")
     model = models.fit(train, models.logistic_regression(FEATURES))
-    raw = t.spark.sql(VIEWS["scores"], lineitem=_stream(t, "lineitem"))
-    rows = t.spark.sql(VIEWS["training_rows"], predictions=t.spark.sql(VIEWS["predictions"], scores=raw))
-    rows = rows.drop("equipment_id", "label").withColumnRenamed("prediction_id", "equipment_id")
-    scored = scoring.score_stream(model, rows)
-    return _collect(t, scored.select("equipment_id", "failure_probability", "predicted_failure", "alert_level"))
+    scored = scoring.score_stream(model, _scoring_stream(t).drop("equipment_id").withColumnRenamed("prediction_id", "equipment_id"))
+    streamed = _collect(t, scored.select("equipment_id", *FEATURES, F.col("failure_probability").alias("p")))
+    again = models.score(model, streamed, "batch")
+    return again.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(_apart("p", "batch"), 1)).alias("differing"), F.count_distinct("equipment_id").alias("ids"))
+
+
+@query(
+    "x13_score_cache",
+    """SELECT count(*) AS n, 0 AS differing, count(*) - count(DISTINCT (quantity, discount, tax)) AS hits FROM {training_rows}""",
+)
+def x13_cache(t):
+    """Equal requests are scored once; cached scores equal those of the model."""
+    model = models.fit(models.stored_for_training(labelled(t), KEYS), models.logistic_regression(_CACHED))
+    requests = _scoring_stream(t).withColumnRenamed("prediction_id", "request_id")
+    found = _collect(t, state.cached_scores(requests, scoring.linear_predictor(model), _CACHED, ttl_ms=None))
+    batch = models.score(model, labelled(t), "batch").select(F.col("prediction_id").alias("request_id"), "batch").distinct()
+    both = found.join(batch, "request_id", "left")
+    return both.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(_apart("failure_probability", "batch"), 1)).alias("differing"), F.count(F.when(F.col("cached"), 1)).alias("hits"))
 
 
 @query("x14_stream_deduplication", "SELECT DISTINCT udi AS message_id FROM {raw_equipment}")
@@ -218,14 +298,32 @@ def x14(t):
     rows = t.spark.sql(VIEWS["raw_equipment"], lineitem=_stream(t, "lineitem")).select(
         F.col("udi").alias("message_id"), _instant("timestamp").alias("event_time")
     )
-    return _collect(t, messages.deduplicate(rows, "1 day").select("message_id"))
+    return _collect(t, messages.deduplicate(rows, "4000 days").select("message_id"))  # the table spans seven years in no order
 
 
-@query("x15_stream_throughput")
+@query(
+    "x15_stream_throughput",
+    """SELECT count(CASE WHEN temperature BETWEEN 0 AND 150 AND vibration BETWEEN 0 AND 100 AND pressure BETWEEN 0 AND 200 THEN 1 END) AS processed,
+              count(CASE WHEN NOT coalesce(temperature BETWEEN 0 AND 150 AND vibration BETWEEN 0 AND 100 AND pressure BETWEEN 0 AND 200, false) THEN 1 END) AS failed,
+              true AS has_batches, true AS rate_fits, true AS times_ordered
+       FROM {sensor_messages}""",
+)
 def x15(t):
+    """Processed and failed messages over all micro-batches; rate and times as relations that must hold."""
     base = _folder(t)
-    finished = sinks.run_available(_series(t), f"{base}/state", path=f"{base}/out")
-    return progress.throughput(t.spark, finished)
+    rows = messages.with_sensor_columns(_sensor_stream(t))
+    failed = ~messages.usable() | (F.size(val.sensor_errors()) > 0)
+    write = progress.metered(lambda batch, batch_id: sinks.replace_batch(batch.select("message_id"), f"{base}/out", batch_id), f"{base}/metrics", failed)
+    sinks.run_available(rows, f"{base}/state", foreach_batch=write)
+    total = progress.throughput(t.spark, f"{base}/metrics")
+    rate = F.col("processed") + F.col("failed")
+    return total.select(
+        "processed",
+        "failed",
+        (F.col("batches") >= 1).alias("has_batches"),
+        (F.abs(F.col("rows_per_second") * F.col("avg_batch_s") * F.col("batches") - rate) < 1e-6 * rate).alias("rate_fits"),
+        ((F.lit(0) < F.col("min_batch_s")) & (F.col("min_batch_s") <= F.col("avg_batch_s")) & (F.col("avg_batch_s") <= F.col("max_batch_s"))).alias("times_ordered"),
+    )
 
 
 @query("x16_stream_restart", "SELECT event_type AS equipment_id, count(*) AS n FROM {events} GROUP BY event_type")

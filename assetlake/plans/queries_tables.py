@@ -136,19 +136,20 @@ def s11(t):
        UNION ALL SELECT 'raw.equipment_data', count(*), 18 FROM {raw_equipment}""",
 )
 def s12(t):
-    base = _folder(t, "layers")
-    for database in schemas.LAYERS:  # the tables of this run lie in the shared folder
-        t.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{base}/{database}.db'")
-    catalog.create_layers(t.spark)
-    made = sum(t.spark.catalog.tableExists(f"{database}.{name}") for database, names in schemas.LAYERS.items() for name in names)
-    filled = {"features.feature_values": t.offline, "raw.equipment_data": t.raw_equipment}
-    counts = None
-    for name, rows in filled.items():
-        for _ in range(2):  # a second write replaces the first
-            catalog.replace_table(rows, name)
-        size = t.spark.table(name).agg(F.lit(name).alias("layer_table"), F.count(F.lit(1)).alias("n"))
-        counts = size if counts is None else counts.unionByName(size)
-    return counts.withColumn("layer_tables", F.lit(made).cast("long"))
+    prefix = f"run_{uuid.uuid4().hex}_"  # databases of this run, in the shared folder, dropped at its end
+    catalog.create_layers(t.spark, prefix, _folder(t, "layers"))
+    try:
+        made = sum(t.spark.catalog.tableExists(name) for name in catalog.layer_tables(prefix))
+        filled = {"features.feature_values": t.offline, "raw.equipment_data": t.raw_equipment}
+        counts = None
+        for name, rows in filled.items():
+            for _ in range(2):  # a second write replaces the first
+                catalog.replace_table(rows, prefix + name)
+            size = t.spark.table(prefix + name).agg(F.lit(name).alias("layer_table"), F.count(F.lit(1)).alias("n"))
+            counts = size if counts is None else counts.unionByName(size)
+        return cut_lineage(counts.withColumn("layer_tables", F.lit(made).cast("long")))
+    finally:
+        catalog.drop_layers(t.spark, prefix)
 
 
 @query(

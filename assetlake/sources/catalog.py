@@ -7,18 +7,31 @@ from pyspark.sql import DataFrame, SparkSession
 from assetlake.schemas import LAYERS
 
 
-def create_layers(spark: SparkSession) -> None:
-    """Create the databases and their empty typed tables where they do not exist."""
-    for database, tables in LAYERS.items():
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-        for table, (schema, partition) in tables.items():
-            name = f"{database}.{table}"
-            if spark.catalog.tableExists(name):
-                continue
-            writer = spark.createDataFrame([], schema).write.format("parquet")
-            if partition:
-                writer = writer.partitionBy(partition)
-            writer.saveAsTable(name)
+def layer_tables(prefix: str = "") -> dict[str, tuple]:
+    """Full names of the layer tables with their schema and partition column; ``prefix`` keeps databases apart."""
+    return {f"{prefix}{database}.{table}": kind for database, tables in LAYERS.items() for table, kind in tables.items()}
+
+
+def create_layers(spark: SparkSession, prefix: str = "", folder: str | None = None) -> None:
+    """Create the databases, under ``folder`` if given, and their empty typed tables where they do not exist."""
+    for database in LAYERS:
+        place = f" LOCATION '{folder}/{prefix}{database}.db'" if folder else ""
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {prefix}{database}{place}")
+    for name, (schema, partition) in layer_tables(prefix).items():
+        if spark.catalog.tableExists(name):
+            continue
+        writer = spark.createDataFrame([], schema).write.format("parquet")
+        if partition:
+            writer = writer.partitionBy(partition)
+        writer.saveAsTable(name)
+
+
+def drop_layers(spark: SparkSession, prefix: str) -> None:
+    """Drop the databases of one prefix with all their tables; databases without a prefix are left alone."""
+    if not prefix:
+        raise ValueError("only databases with a prefix are dropped")
+    for database in LAYERS:
+        spark.sql(f"DROP DATABASE IF EXISTS {prefix}{database} CASCADE")
 
 
 def replace_table(df: DataFrame, name: str) -> None:

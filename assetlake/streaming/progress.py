@@ -1,26 +1,49 @@
-"""Throughput statistics of a streaming query from its progress reports."""
+"""Throughput statistics of a stream, from one row written with every micro-batch."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
-
-
-def throughput(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """One row: batches, rows, rows dropped late, rate and batch times. Progress reports are kept by Spark in a bounded list."""
-    reports = [p for p in query.recentProgress]
-    rows = sum(p["numInputRows"] for p in reports)
-    late = sum(s.get("numRowsDroppedByWatermark", 0) for p in reports for s in p.get("stateOperators", []))
-    times = [p["batchDuration"] / 1000.0 for p in reports] or [0.0]
-    total = sum(times)
-    row = (
-        len(reports),
-        rows,
-        late,
-        rows / total if total else 0.0,
-        total / len(times),
-        min(times),
-        max(times),
+import time
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+
+METRICS = "batch long, processed long, failed long, seconds double"
+
+
+def metered(write: Callable[[DataFrame, int], None], path: str, failed: Column) -> Callable[[DataFrame, int], None]:
+    """foreachBatch function around ``write`` that stores the batch's rows, failed rows and seconds under ``path``.
+
+    Rows are counted while ``write`` reads them, once. A replayed batch overwrites its own row.
+    """
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        seen = Observation()
+        counts = [F.count(F.lit(1)).alias("rows"), F.count(F.when(failed, 1)).alias("failed")]
+        started = time.monotonic()
+        write(batch.observe(seen, *counts), batch_id)
+        seconds = time.monotonic() - started
+        row = (batch_id, seen.get["rows"] - seen.get["failed"], seen.get["failed"], seconds)
+        batch.sparkSession.createDataFrame([row], METRICS).write.mode("overwrite").parquet(f"{path}/part={batch_id}")
+
+    return run
+
+
+def throughput(spark: SparkSession, path: str) -> DataFrame:
+    """One row over all micro-batches ever stored: batches, processed, failed, rate and times of a batch."""
+    rows = spark.read.schema(METRICS + ", part long").parquet(path)
+    total = F.sum("seconds")
+    return rows.agg(
+        F.count(F.lit(1)).alias("batches"),
+        F.sum("processed").alias("processed"),
+        F.sum("failed").alias("failed"),
+        (F.sum(F.col("processed") + F.col("failed")) / F.nullif(total, F.lit(0.0))).alias("rows_per_second"),
+        F.avg("seconds").alias("avg_batch_s"),
+        F.min("seconds").alias("min_batch_s"),
+        F.max("seconds").alias("max_batch_s"),
     )
-    schema = "batches int, rows long, late_rows long, rows_per_second double, avg_batch_s double, min_batch_s double, max_batch_s double"
-    return spark.createDataFrame([row], schema)
+
+
+def late_rows(query) -> int:
+    """Rows that the state operators of the last micro-batches dropped behind the watermark."""
+    return sum(s.get("numRowsDroppedByWatermark", 0) for p in query.recentProgress for s in p.get("stateOperators", []))

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assetlake.operators.ordering import exact_quantiles, match_on, wide_quantiles
+from assetlake.streaming.state import sliding_windows
 
 # Window length, emission interval and alert thresholds (warning, critical).
 WINDOW = "60 seconds"
@@ -27,32 +29,39 @@ def _simple_statistics() -> list[Column]:
     ]
 
 
+def _milliseconds(interval: str) -> int:
+    """A fixed interval such as "10 seconds" in milliseconds."""
+    return round(pd.Timedelta(interval).total_seconds() * 1000)
+
+
 def stream_statistics(
-    series: DataFrame, window: str = WINDOW, slide: str = SLIDE, delay: str = "60 seconds"
+    series: DataFrame, window: str = WINDOW, slide: str = SLIDE, delay: str = "60 seconds", resolution: float | None = None
 ) -> DataFrame:
     """Statistics and 3-sigma anomalies per closed window of a stream (append mode).
 
-    ``series``: equipment_id, sensor, value, event_time. The values of a window are kept for the median and the
-    anomaly list; a window holds one sensor of one machine for ``window`` only.
+    ``series``: equipment_id, sensor, value, event_time. Readings are first counted by (machine, sensor, pane, value) in
+    panes of ``slide``; a closed pane's counts go to the state of its series, which merges them to windows. State
+    holds distinct values; ``resolution`` rounds values to multiples and so bounds them by the sensor's range.
     """
-    grouped = (
+    value = F.col("value") if resolution is None else F.round(F.col("value") / resolution) * resolution
+    panes = (
         series.withWatermark("event_time", delay)
-        .groupBy("equipment_id", "sensor", F.window("event_time", window, slide).alias("w"))
-        .agg(
-            *_simple_statistics(),
-            F.percentile("value", F.lit(0.5)).alias("median"),
-            F.collect_list("value").alias("_values"),
-        )
+        .withColumn("value", value)
+        .groupBy("equipment_id", "sensor", F.window("event_time", slide).alias("w"), "value")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .filter("value IS NOT NULL")
+        .select("equipment_id", "sensor", F.window_time("w").alias("event_time"), F.unix_millis("w.start").alias("pane"), "value", "n")
     )
-    apart = F.filter("_values", lambda v: F.abs(v - F.col("mean")) > 3 * F.col("std"))
-    return grouped.select(
+    closed = sliding_windows(panes, _milliseconds(window), _milliseconds(slide))
+    return closed.select(
         "equipment_id",
         "sensor",
-        F.col("w.start").alias("window_start"),
-        F.col("w.end").alias("window_end"),
+        F.timestamp_millis("start_ms").alias("window_start"),
+        F.timestamp_millis("end_ms").alias("window_end"),
         *STATISTICS,
-        F.when(F.col("std") > 0, apart).otherwise(F.array().cast("array<double>")).alias("anomalies"),
-    ).withColumn("anomaly_count", F.size("anomalies"))
+        "anomalies",
+        F.size("anomalies").alias("anomaly_count"),
+    )
 
 
 def _windowed(series: DataFrame, window: str, slide: str) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from assetlake import schemas
 from assetlake.operators import joins, store
+from assetlake.plans.catalog import REGISTRY
 from assetlake.sources import catalog, database, files
 from assetlake.sources.kafka import KafkaSettings
 from assetlake.sources.versioned import VersionedTable
@@ -148,24 +149,34 @@ def test_sample_and_report(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "p/test")).count() == 150
 
 
-def test_layers(spark):
-    catalog.create_layers(spark)
-    catalog.create_layers(spark)
-    for database_name, tables in schemas.LAYERS.items():
-        for table in tables:
-            assert spark.table(f"{database_name}.{table}").count() == 0
+def test_layers(spark, tmp_path):
+    for _ in range(2):
+        catalog.create_layers(spark, "check_", str(tmp_path))
+    assert all(spark.table(name).count() == 0 for name in catalog.layer_tables("check_"))
     row = spark.createDataFrame([("2024-01-01", "m1", "recall", 0.9)], "metric_date string, model_id string, metric_name string, metric_value double")
     full = row.select(F.col("metric_date").cast("date").alias("metric_date"), "model_id", "metric_name", "metric_value").withColumns(
         {f.name: F.lit(None).cast(f.dataType) for f in schemas.MODEL_METRICS if f.name not in row.columns}
     )
-    catalog.append_rows(full, "monitoring.model_metrics")
+    catalog.append_rows(full, "check_monitoring.model_metrics")
     other = full.withColumn("metric_date", F.lit("2024-01-02").cast("date"))
-    catalog.replace_partitions(other, "monitoring.model_metrics")
-    catalog.replace_partitions(other, "monitoring.model_metrics")
-    assert spark.table("monitoring.model_metrics").count() == 2
-    catalog.replace_table(spark.range(2).toDF("id"), "monitoring.extra")
-    catalog.replace_table(spark.range(1).toDF("id"), "monitoring.extra")
-    assert spark.table("monitoring.extra").count() == 1
+    catalog.replace_partitions(other, "check_monitoring.model_metrics")
+    catalog.replace_partitions(other, "check_monitoring.model_metrics")
+    assert spark.table("check_monitoring.model_metrics").count() == 2
+    catalog.replace_table(spark.range(2).toDF("id"), "check_monitoring.extra")
+    catalog.replace_table(spark.range(1).toDF("id"), "check_monitoring.extra")
+    assert spark.table("check_monitoring.extra").count() == 1
+    catalog.drop_layers(spark, "check_")
+    assert not any(d.name.startswith("check_") for d in spark.catalog.listDatabases())
+    with pytest.raises(ValueError):
+        catalog.drop_layers(spark, "")
+
+
+def test_layer_query_leaves_other_tables_alone(spark):
+    before = {d.name for d in spark.catalog.listDatabases()}
+    for _ in range(2):
+        found = REGISTRY["s03_s12_layer_tables"].run(spark, "/root/testdata/sf0.001").collect()
+        assert {r["layer_tables"] for r in found} == {18} and all(r["n"] > 0 for r in found)
+    assert {d.name for d in spark.catalog.listDatabases()} == before
 
 
 def test_database_options():
