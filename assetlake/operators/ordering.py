@@ -13,10 +13,11 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from assetlake.session import shuffle_partitions
+from assetlake.session import cut_lineage, shuffle_partitions
 
 RANGE = "_range"
-SMALL_GROUP = 5000  # groups up to this size need no bracket
+DIGIT_TOP = 1 << 18  # above the number of every finite double's bucket
+DIGIT_BUCKETS = 4096  # finer buckets of a pass of radix selection
 
 
 def match_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
@@ -164,100 +165,63 @@ def recent_rows(
     return rows.withColumns(compute(ordered)).filter(~F.col("_carry")).drop(RANGE, "_carry")
 
 
-def exact_quantiles(
-    df: DataFrame,
-    columns: Sequence[str],
-    probs: Sequence[float],
-    keys: Sequence[str] = (),
-    slack: float = 0.002,
-) -> DataFrame:
-    """Exact linear-interpolation quantiles: rows (keys, column, prob, n, value).
+def _magnitude(v: Column) -> Column:
+    """Order-preserving number of the 64th of a power of two that a double lies in; NaN is above all."""
+    power = F.floor(F.lit(64) * (F.log2(F.abs(v)) + 1100))
+    sized = F.when(F.abs(v) == float("inf"), F.lit(DIGIT_TOP)).otherwise(power)
+    return F.when(F.isnan(v), F.lit(DIGIT_TOP + 1)).when(v == 0, F.lit(0)).otherwise(F.signum(v).cast("long") * sized).cast("long")
 
-    A sketch brackets every requested rank to within ``slack``; one pass counts what lies below the bracket
-    and keeps the distinct values inside it, and the rank is read from those. A hot key therefore sends only
-    about ``2 * slack`` of its rows to one task. A bracket that misses its rank raises an error.
-    """
-    numeric = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in columns])
-    edges = []
-    for p in probs:
-        edges += [max(0.0, p - slack), min(1.0, p + slack)]
-    sketch = [
-        F.struct(
-            F.count(c).alias("n"), F.percentile_approx(c, edges, int(20 / slack)).alias("edges")
-        ).alias(f"_s{i}")
-        for i, c in enumerate(columns)
-    ]
-    if keys:
-        bracketed = match_on(numeric, numeric.groupBy(*keys).agg(*sketch), keys, "inner")
-    else:
-        one_row = numeric.agg(*sketch).select(F.struct(*[f"_s{i}" for i in range(len(columns))]))
-        bracketed = numeric.withColumn("_all", one_row.scalar()).select("*", "_all.*").drop("_all")
-
-    # (column number, prob, small group or not, bracket) of every requested quantile
-    targets = []
-    for i, c in enumerate(columns):
-        for j, p in enumerate(probs):
-            low, high = F.col(f"_s{i}.edges")[2 * j], F.col(f"_s{i}.edges")[2 * j + 1]
-            targets.append((i, c, float(p), F.col(f"_s{i}.n") <= SMALL_GROUP, low, high))
-    # how many values lie below each bracket: plain conditional counts
-    below = bracketed.groupBy(*keys).agg(
-        *[F.max(f"_s{i}.n").alias(f"_n{i}") for i in range(len(columns))],
-        *[F.count(F.when(~small & (F.col(c) < low), 1)).alias(f"_b{t}") for t, (_, c, _, small, low, _) in enumerate(targets)],
-    )
-    below = below.select(
-        *keys,
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(c).alias("column"),
-                        F.lit(p).alias("prob"),
-                        F.col(f"_n{i}").alias("n"),
-                        F.lit(None).cast("double").alias("v"),
-                        F.col(f"_b{t}").alias("cnt"),
-                    )
-                    for t, (i, c, p, _, _, _) in enumerate(targets)
-                ]
-            )
-        ),
-    ).filter("cnt > 0")
-    # the distinct values inside the brackets: a small share of the rows
-    inside = F.array_compact(
-        F.array(
-            *[
-                F.when(
-                    F.col(c).isNotNull() & (small | F.col(c).between(low, high)),
-                    F.struct(
-                        F.lit(c).alias("column"), F.lit(p).alias("prob"), F.col(f"_s{i}.n").alias("n"), F.col(c).alias("v")
-                    ),
-                )
-                for i, c, p, small, low, high in targets
-            ]
-        )
-    )
-    near = bracketed.select(*keys, F.inline(inside)).groupBy(*keys, "column", "prob", "n", "v")
-    counted = below.unionByName(near.agg(F.count(F.lit(1)).alias("cnt")))
-    group = [*keys, "column", "prob", "n"]
-    upto = (
-        Window.partitionBy(*group).orderBy(F.col("v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
-    )
-    position = F.col("prob") * (F.col("n") - 1)
-    ranked = counted.withColumn("upto", F.sum("cnt").over(upto)).withColumn("first", F.col("upto") - F.col("cnt"))
 
-    def value_at(rank: Column) -> Column:
-        return F.max(F.when((F.col("first") <= rank) & (rank < F.col("upto")), F.col("v")))
+def _upto(counts: DataFrame, group: Sequence[str]) -> DataFrame:
+    """Histogram rows (digit, n, ...) with the number of values before (first) and up to their bucket."""
+    along = Window.partitionBy(*group).orderBy("digit").rowsBetween(Window.unboundedPreceding, 0)
+    return counts.withColumn("upto", F.sum("n").over(along)).withColumn("first", F.col("upto") - F.col("n"))
+
 
-    picked = ranked.groupBy(*group).agg(
-        value_at(F.floor(position)).alias("low_value"), value_at(F.ceil(position)).alias("high_value")
+def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], keys: Sequence[str] = ()) -> DataFrame:
+    """Exact linear-interpolation quantiles: rows (keys, column, prob, n, value).
+
+    Radix selection over all columns and probabilities at once. The first pass counts values by the 64th of a power of two they
+    lie in, every further pass counts the values of each bucket that holds a wanted rank in ``DIGIT_BUCKETS`` finer
+    ones, until such a bucket has one distinct value. Counts combine before the shuffle, so a pass reads the rows once
+    and shuffles histograms; no rows are sorted. Passes grow with the logarithm of the rows: usually two or three.
+    """
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in columns])
+    values = df.select(*keys, F.inline(cells)).filter("v IS NOT NULL")
+    bucket = [F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high")]
+    group = [*keys, "column"]
+    counts = _upto(values.groupBy(*group, _magnitude(F.col("v")).alias("digit")).agg(*bucket), group)
+    counts = counts.withColumn("total", F.max("upto").over(Window.partitionBy(*group)))
+    wanted = F.array(*[F.struct(F.lit(float(p)).alias("prob"), F.lit(side).alias("side")) for p in probs for side in (0, 1)])
+    position = F.col("prob") * (F.col("total") - 1)
+    targets = (
+        counts.select("*", F.inline(wanted))
+        .withColumn("rank", F.when(F.col("side") == 0, F.floor(position)).otherwise(F.ceil(position)))
+        .filter((F.col("first") <= F.col("rank")) & (F.col("rank") < F.col("upto")))
+        .select(*group, "prob", "side", "total", (F.col("rank") - F.col("first")).alias("rank"), "low", "high")
     )
+    targets = cut_lineage(targets)
+    interval = [*group, "low", "high"]
+    while True:
+        still = targets.filter("low < high")
+        if still.isEmpty():
+            break
+        intervals = still.select(*interval).distinct()
+        if not keys:
+            intervals = F.broadcast(intervals)  # at most two for each column and probability
+        inside = match_on(values, intervals, group, "inner").filter("v BETWEEN low AND high")
+        share = F.floor((F.col("v") - F.col("low")) / (F.col("high") - F.col("low")) * DIGIT_BUCKETS)
+        finer = inside.withColumn("digit", F.least(share, F.lit(DIGIT_BUCKETS - 1)))
+        finer = finer.withColumnsRenamed({"low": "_low", "high": "_high"}).groupBy(*group, "_low", "_high", "digit").agg(*bucket)
+        finer = _upto(finer, [*group, "_low", "_high"]).withColumnsRenamed({"low": "low_value", "high": "high_value"})
+        asked = still.withColumnsRenamed({"low": "_low", "high": "_high"})
+        met = match_on(asked, finer, [*group, "_low", "_high"], "inner").filter("first <= rank AND rank < upto")
+        narrowed = met.select(*group, "prob", "side", "total", (F.col("rank") - F.col("first")).alias("rank"), F.col("low_value").alias("low"), F.col("high_value").alias("high"))
+        targets = cut_lineage(targets.filter("NOT (low < high)").unionByName(narrowed))
+    ends = targets.groupBy(*group, "prob", "total").agg(*[F.max(F.when(F.col("side") == s, F.col("low"))).alias(name) for s, name in ((0, "below"), (1, "above"))])
     fraction = position - F.floor(position)
-    value = F.col("low_value") + (F.col("high_value") - F.col("low_value")) * fraction
-    return picked.select(
-        *group,
-        F.when(value.isNotNull(), value)
-        .otherwise(F.raise_error(F.lit("quantile bracket missed its rank; raise slack")).cast("double"))
-        .alias("value"),
-    )
+    value = F.when(F.col("below") == F.col("above"), F.col("below")).otherwise(F.col("below") + (F.col("above") - F.col("below")) * fraction)
+    return ends.select(*group, "prob", F.col("total").alias("n"), value.alias("value"))
 
 
 def wide_quantiles(quantiles: DataFrame, names: dict[tuple[str, float], str], keys: Sequence[str] = ()) -> DataFrame:

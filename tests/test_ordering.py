@@ -32,10 +32,12 @@ def test_quantiles_per_key(skewed):
         assert r.value == pytest.approx(want[r.k, r.prob], abs=1e-9)
 
 
-def test_quantiles_of_the_whole_and_of_brackets(skewed, monkeypatch):
+@pytest.mark.parametrize("buckets", [2, 64, 4096])
+def test_quantiles_of_the_whole(skewed, monkeypatch, buckets):
     pdf, df = skewed
-    monkeypatch.setattr(ordering, "SMALL_GROUP", 500)  # force the bracketed path
-    got = ordering.exact_quantiles(df, ["v", "t"], [0.25, 0.5, 0.75], slack=0.01).toPandas()
+    monkeypatch.setattr(ordering, "DIGIT_BUCKETS", buckets)  # few buckets: many passes
+    got = ordering.exact_quantiles(df, ["v", "t"], [0.25, 0.5, 0.75]).toPandas()
+    assert len(got) == 6
     for r in got.itertuples():
         assert r.value == pytest.approx(pdf[r.column].quantile(r.prob), abs=1e-9)
 
@@ -51,6 +53,30 @@ def test_quantiles_of_tiny_inputs(spark, values):
         assert not got
 
 
+def test_quantiles_of_extreme_doubles(spark):
+    """Signs, zeros, denormals, neighbours that differ in the last bit, huge values and infinities."""
+    values = [-np.inf, -1e308, -3.5, -1e-320, -0.0, 0.0, 5e-324, 1e-320, 1.0, np.nextafter(1.0, 2), np.nextafter(1.0, 3) + 2**-51, 1.5, 2.0, 1e300, 1.7e308]
+    df = spark.createDataFrame([(float(v), i % 2) for i, v in enumerate(values * 3)], "v double, k int")
+    probs = [i / (len(values) * 3 - 1) for i in range(len(values) * 3)]
+    got = {r["prob"]: r["value"] for r in ordering.exact_quantiles(df, ["v"], probs).collect()}
+    ordered = sorted(values * 3)
+    for i, p in enumerate(probs):
+        low, high = ordered[int(np.floor(p * (len(ordered) - 1)))], ordered[int(np.ceil(p * (len(ordered) - 1)))]
+        assert low <= got[p] <= high
+    assert got[0.0] == -np.inf and got[1.0] == 1.7e308
+    nan = spark.createDataFrame([(float("nan"),), (1.0,), (2.0,)], "v double")
+    assert [r["value"] for r in ordering.exact_quantiles(nan, ["v"], [0.0, 0.5]).orderBy("prob").collect()] == [1.0, 2.0]
+
+
+def test_quantiles_shuffle_histograms_only(spark):
+    """A pass shuffles one row for each bucket a task has seen, not the rows."""
+    df = spark.range(0, 200_000, 1, 4).selectExpr("sqrt(cast(id AS double)) AS v")
+    plan = ordering.exact_quantiles(df, ["v"], [0.5])
+    assert plan.first()["value"] == pytest.approx(np.quantile(np.sqrt(np.arange(200_000.0)), 0.5), abs=1e-12)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "Range" not in text and "raise_error" not in text
+
+
 def test_null_keys_are_a_group(spark):
     df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 5.0)], "k string, v double")
     got = {r["k"]: r["value"] for r in ordering.exact_quantiles(df, ["v"], [0.5], ["k"]).collect()}
