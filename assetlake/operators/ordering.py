@@ -13,7 +13,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from assetlake.session import cut_lineage, shuffle_partitions
+from assetlake.session import shuffle_partitions, stored
 
 RANGE = "_range"
 DIGIT_TOP = 1 << 18  # above the number of every finite double's bucket
@@ -178,6 +178,26 @@ def _upto(counts: DataFrame, group: Sequence[str]) -> DataFrame:
     return counts.withColumn("upto", F.sum("n").over(along)).withColumn("first", F.col("upto") - F.col("n"))
 
 
+def _between_passes(targets: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The wanted ranks after a pass: two rows for each column and probability of a whole table, else written once."""
+    if keys:
+        return stored(targets, "quantiles")
+    return targets.sparkSession.createDataFrame(targets.collect(), targets.schema)
+
+
+def _inside(df: DataFrame, intervals: set[tuple[str, float, float]]) -> DataFrame:
+    """column, v, low and high of the values in a few disjoint intervals (column, low, high) of a whole table."""
+    found = []
+    for c in sorted({i[0] for i in intervals}):
+        v = F.col(c).cast("double")
+        cell = F.lit(None)
+        for _, low, high in sorted(i for i in intervals if i[0] == c):
+            own = F.struct(F.lit(c).alias("column"), v.alias("v"), F.lit(low).alias("low"), F.lit(high).alias("high"))
+            cell = F.when(v.between(low, high), own).otherwise(cell)
+        found.append(cell)
+    return df.select(F.inline(F.array_compact(F.array(*found))))
+
+
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], keys: Sequence[str] = ()) -> DataFrame:
     """Exact linear-interpolation quantiles: rows (keys, column, prob, n, value).
 
@@ -200,16 +220,16 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
         .filter((F.col("first") <= F.col("rank")) & (F.col("rank") < F.col("upto")))
         .select(*group, "prob", "side", "total", (F.col("rank") - F.col("first")).alias("rank"), "low", "high")
     )
-    targets = cut_lineage(targets)
+    targets = _between_passes(targets, keys)
     interval = [*group, "low", "high"]
     while True:
         still = targets.filter("low < high")
         if still.isEmpty():
             break
-        intervals = still.select(*interval).distinct()
-        if not keys:
-            intervals = F.broadcast(intervals)  # at most two for each column and probability
-        inside = match_on(values, intervals, group, "inner").filter("v BETWEEN low AND high")
+        if keys:
+            inside = match_on(values, still.select(*interval).distinct(), group, "inner").filter("v BETWEEN low AND high")
+        else:
+            inside = _inside(df, {tuple(r) for r in still.select(*interval).collect()})
         share = F.floor((F.col("v") - F.col("low")) / (F.col("high") - F.col("low")) * DIGIT_BUCKETS)
         finer = inside.withColumn("digit", F.least(share, F.lit(DIGIT_BUCKETS - 1)))
         finer = finer.withColumnsRenamed({"low": "_low", "high": "_high"}).groupBy(*group, "_low", "_high", "digit").agg(*bucket)
@@ -217,7 +237,7 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
         asked = still.withColumnsRenamed({"low": "_low", "high": "_high"})
         met = match_on(asked, finer, [*group, "_low", "_high"], "inner").filter("first <= rank AND rank < upto")
         narrowed = met.select(*group, "prob", "side", "total", (F.col("rank") - F.col("first")).alias("rank"), F.col("low_value").alias("low"), F.col("high_value").alias("high"))
-        targets = cut_lineage(targets.filter("NOT (low < high)").unionByName(narrowed))
+        targets = _between_passes(targets.filter("NOT (low < high)").unionByName(narrowed), keys)
     ends = targets.groupBy(*group, "prob", "total").agg(*[F.max(F.when(F.col("side") == s, F.col("low"))).alias(name) for s, name in ((0, "below"), (1, "above"))])
     fraction = position - F.floor(position)
     value = F.when(F.col("below") == F.col("above"), F.col("below")).otherwise(F.col("below") + (F.col("above") - F.col("below")) * fraction)

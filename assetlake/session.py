@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_session(app_name: str = "assetlake", master: str | None = None, **conf: str) -> SparkSession:
@@ -41,6 +42,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def stored(df: DataFrame, name: str = "rows") -> DataFrame:
+    """Write a frame once to the shared checkpoint folder and read it back; unlike a checkpoint it is computed once."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df):
     """Materialise a frame in the shared checkpoint folder so that lost executors do not replay its plan."""
     spark = df.sparkSession
