@@ -5,7 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 METRICS = "batch long, processed long, failed long, seconds double"
@@ -14,16 +14,20 @@ METRICS = "batch long, processed long, failed long, seconds double"
 def metered(write: Callable[[DataFrame, int], None], path: str, failed: Column) -> Callable[[DataFrame, int], None]:
     """foreachBatch function around ``write`` that stores the batch's rows, failed rows and seconds under ``path``.
 
-    Rows are counted while ``write`` reads them, once. A replayed batch overwrites its own row.
+    The persisted batch is computed once, for ``write`` and the counts. A replayed batch overwrites its own row. (An
+    ``Observation`` would do without, but once a session has one, fitted logistic models can't be sent to tasks.)
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        seen = Observation()
-        counts = [F.count(F.lit(1)).alias("rows"), F.count(F.when(failed, 1)).alias("failed")]
-        started = time.monotonic()
-        write(batch.observe(seen, *counts), batch_id)
-        seconds = time.monotonic() - started
-        row = (batch_id, seen.get["rows"] - seen.get["failed"], seen.get["failed"], seconds)
+        kept = batch.persist()
+        try:
+            started = time.monotonic()
+            write(kept, batch_id)
+            seconds = time.monotonic() - started
+            seen = kept.agg(F.count(F.lit(1)).alias("rows"), F.count(F.when(failed, 1)).alias("failed")).first()
+        finally:
+            kept.unpersist()
+        row = (batch_id, seen["rows"] - seen["failed"], seen["failed"], seconds)
         batch.sparkSession.createDataFrame([row], METRICS).write.mode("overwrite").parquet(f"{path}/part={batch_id}")
 
     return run
