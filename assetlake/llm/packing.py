@@ -27,6 +27,7 @@ from assetlake.llm.tokens import check_words, default_path, opened
 from assetlake.session import shuffle_partitions
 
 CAPACITY, END_ID = 2048, 0
+BATCH_BYTES = 4 << 20  # text encoded at once: words that come again are looked up once
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, chunk int"
 Run = tuple[tuple[int, ...], int]
 
@@ -154,7 +155,7 @@ def cut(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_
         encoder, made = opened(path), 0
         for batch in batches:
             ids, values = batch.column(0).to_pylist(), byte_texts(batch.column(1))
-            for lo, hi in pieces(values):
+            for lo, hi in pieces(values, BATCH_BYTES):
                 rows = []
                 for doc_id, found in zip(ids[lo:hi], encoder.encode(values[lo:hi])):
                     found += end

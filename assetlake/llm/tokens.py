@@ -8,15 +8,19 @@ tokenizer is of that kind.
 from __future__ import annotations
 
 import os
+import string
 from array import array
+from collections.abc import Iterable
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 
 VOCABULARY = "word_bpe_49k.json"
 LONG_WORD = 64  # bytes; a longer word's ids are not kept
-KEPT_WORDS, KEPT_STEMS = 400_000, 600_000  # entries a Python worker keeps (about 200 bytes each); then it begins anew
-_MARKS = (b".", b",")
+KEPT_WORDS, KEPT_STEMS = 200_000, 300_000  # entries of a generation of about 200 bytes each; a Python worker keeps two
+_MARKS = string.punctuation.replace("<", "").encode()
 
 _OPEN: dict[str, "WordIds"] = {}
 
@@ -25,6 +29,29 @@ def default_path() -> str:
     return public_tokenizers.path(VOCABULARY)
 
 
+class Generations:
+    """A bounded map of two generations: the young one turns old when full, and what is asked for again is young again."""
+
+    def __init__(self, size: int):
+        self.size, self.young, self.old = size, {}, {}
+
+    def find(self, keys: list[bytes]) -> list[bytes | None]:
+        young, old = self.young, self.old
+        found = list(map(young.get, keys))
+        for i in [i for i, v in enumerate(found) if v is None] if old else ():
+            value = old.get(keys[i])
+            if value is not None:
+                found[i] = young[keys[i]] = value
+        return found
+
+    def add(self, entries: Iterable[tuple[bytes, bytes]]) -> None:
+        self.young.update(entries)
+
+    def age(self) -> None:
+        if len(self.young) > self.size:
+            self.young, self.old = {}, self.young
+
+
 class WordIds:
     """Ids of texts as unsigned 32-bit integers, least byte first."""
 
@@ -33,52 +60,60 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
-        self.stems: dict[bytes, bytes] = {}
-
-    def _learn(self, words: list[bytes]) -> None:
-        """Encode words. Of a word without "<" (which may begin a special string) a full stop or comma after an ASCII
-        letter is set apart and ASCII letters are lowered: letters and marks are never in one token and the tokenizer
-        folds case, so the ids are the same and fewer strings are encoded."""
-        stems, parts = self.stems, []
+        self.known, self.stems = Generations(KEPT_WORDS), Generations(KEPT_STEMS)
+
+    def _stems(self, stems: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of distinct strings."""
+        found = self.stems.find(stems)
+        new = [s for s, v in zip(stems, found) if v is None]
+        plain = [s.decode("utf-8") for s in new]
+        made = [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(plain, add_special_tokens=False)]
+        self.stems.add((s, v) for s, v in zip(new, made) if len(s) <= LONG_WORD)
+        ids = dict(zip(stems, found))
+        ids.update(zip(new, made))
+        return ids
+
+    def _learn(self, words: list[bytes]) -> list[bytes]:
+        """Ids of distinct words. Of a word without "<" (which may begin a special string) ASCII marks at the end, after an ASCII
+        letter or digit, are set apart and ASCII letters are lowered: letters and marks are never in one token and the
+        tokenizer folds case, so the ids are the same and fewer strings are encoded."""
+        stems, marks = [], []
         for w in words:
-            if b"<" in w:
-                parts.append((w, b""))
-            elif w[-1:] in _MARKS and w[-2:-1].isalpha():
-                parts.append((w[:-1].lower(), w[-1:]))
-            else:
-                parts.append((w.lower(), b""))
-        new = list({p for pair in parts for p in pair}.difference(stems))
-        plain = [w.decode("utf-8") for w in new]
-        for stem, found in zip(new, self.tokenizer.encode_batch_fast(plain, add_special_tokens=False)):
-            stems[stem] = array("I", found.ids).tobytes()
-        known = self.known
-        for word, (stem, mark) in zip(words, parts):
-            known[word] = stems[stem] + stems[mark] if mark else stems[stem]
-        for stem in new:
-            if len(stem) > LONG_WORD:
-                del stems[stem]
+            stem, mark = w, b""
+            if b"<" not in w:
+                stem = w.rstrip(_MARKS)
+                if stem[-1:].isalnum():
+                    mark = w[len(stem) :]
+                else:
+                    stem = w
+                stem = stem.lower()
+            stems.append(stem)
+            marks.append(mark)
+        ids = self._stems(list({*stems, *marks}))
+        out = [ids[stem] + ids[mark] if mark else ids[stem] for stem, mark in zip(stems, marks)]
+        self.known.add((w, v) for w, v in zip(words, out) if len(w) <= LONG_WORD)
+        return out
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        """Ids of each text, without added special tokens."""
-        if len(self.known) > KEPT_WORDS:
-            self.known = {}
-        if len(self.stems) > KEPT_STEMS:
-            self.stems = {}
-        known = self.known
-        words = [t.split() for t in texts]
-        found = [list(map(known.get, ws)) for ws in words]
-        gaps = [[i for i, v in enumerate(vs) if v is None] if None in vs else () for vs in found]
-        missing = list({ws[i] for ws, at in zip(words, gaps) for i in at})
-        if missing:
-            self._learn(missing)
-            for ws, vs, at in zip(words, found, gaps):
-                for i in at:
-                    vs[i] = known[ws[i]]
-            for word in missing:
-                if len(word) > LONG_WORD:
-                    del known[word]
-        return [b"".join(vs) for vs in found]
+        """Ids of each text, without added special tokens. Distinct words are looked up once for all texts."""
+        self.known.age()
+        self.stems.age()
+        split = pc.ascii_split_whitespace(pa.array(texts, pa.string()))
+        coded = split.values.dictionary_encode()
+        words = coded.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+        found = self.known.find(words)
+        missing = [i for i, v in enumerate(found) if v is None]
+        for i, value in zip(missing, self._learn([words[i] for i in missing])):
+            found[i] = value
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        starts = np.cumsum(sizes) - sizes
+        codes = coded.indices.to_numpy()
+        lengths = sizes[codes]
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        at = np.repeat(starts[codes] - ends[:-1], lengths) + np.arange(ends[-1])
+        ids = np.frombuffer(b"".join(found), "<u4")[at].tobytes()
+        cuts = (4 * ends[split.offsets.to_numpy()]).tolist()
+        return [ids[lo:hi] for lo, hi in zip(cuts, cuts[1:])]
 
 
 def opened(path: str) -> WordIds:
