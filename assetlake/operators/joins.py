@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assetlake.operators.ordering import match_on
-from assetlake.operators.tables import latest_per_key
+from assetlake.operators.tables import latest_per_entity
 
 
 def production_only(predictions: DataFrame, models: DataFrame) -> DataFrame:
@@ -52,8 +52,8 @@ def pivot_metrics(metrics: DataFrame, names: Sequence[str]) -> DataFrame:
 
 def equipment_health(equipment, readings, predictions, open_alerts) -> DataFrame:
     """Every asset with its latest reading, latest prediction and its unresolved alerts."""
-    reading = latest_per_key(readings, ["equipment_id"], ["reading_time", "reading_id"])
-    prediction = latest_per_key(predictions, ["equipment_id"], ["prediction_timestamp", "prediction_id"])
+    reading = latest_per_entity(readings, "equipment_id", ["reading_time", "reading_id"])
+    prediction = latest_per_entity(predictions, "equipment_id", ["prediction_timestamp", "prediction_id"])
     return (
         equipment.join(reading, "equipment_id", "left")
         .join(prediction, "equipment_id", "left")

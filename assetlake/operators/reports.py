@@ -9,7 +9,7 @@ from assetlake.functions.numeric import count_where, percent
 from assetlake.functions.text import json_text
 from assetlake.functions.tiers import risk_category, risk_score, severity_rank, trend_arrow
 from assetlake.operators.joins import production_only
-from assetlake.operators.tables import latest_per_key
+from assetlake.operators.tables import latest_per_entity, latest_per_key
 
 
 def days_before(as_of: Column, days: int) -> Column:
@@ -86,7 +86,7 @@ def top_risky_equipment(
     positive = production_only(
         predictions.filter((F.col("predicted") == 1) & (F.col("failure_probability") >= min_probability)), models
     ).select("equipment_id", "prediction_timestamp", "prediction_id", "failure_probability")
-    newest = latest_per_key(positive, ["equipment_id"], ["prediction_timestamp", "prediction_id"])
+    newest = latest_per_entity(positive, "equipment_id", ["prediction_timestamp", "prediction_id"])
     since = first_seen.groupBy("equipment_id").agg(F.min("feature_date").alias("_first"))
     top = (
         newest.join(equipment.select("equipment_id", "equipment_type", "tool_wear_min"), "equipment_id")

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from assetlake.functions.numeric import to_double
 from assetlake.operators.features import apply_scaling, min_max_scale, one_hot, scale_statistics
 from assetlake.operators.ordering import match_on
-from assetlake.operators.tables import delete_keys, latest_per_key, upsert
+from assetlake.operators.tables import delete_keys, latest_per_entity, upsert
 from assetlake.operators.validation import validate_against_registry
 
 OFFLINE_KEYS = ("equipment_id", "feature_name", "timestamp")
@@ -162,7 +162,7 @@ def online_state(rows: DataFrame, order_by: Sequence[str] = ("timestamp", "inges
             c for c in order_by if c not in ("timestamp", "ingestion_time")
         ]
     )
-    newest = latest_per_key(packed, ["equipment_id"], order_by)
+    newest = latest_per_entity(packed, "equipment_id", order_by)
     return newest.select(
         "equipment_id",
         F.map_from_entries("_entries").alias("features"),

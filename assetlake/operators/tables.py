@@ -14,6 +14,15 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str])
     return df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*order_by)).alias("_row")).select(*keys, "_row.*")
 
 
+def latest_per_entity(df: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame:
+    """``latest_per_key`` for a key with many rows each: a narrow hash aggregate finds the greatest value of the first order
+    column, a semi-join on key and value (which deals a hot key's rows too) the few rows that have it; NULL is lowest.
+    Where most keys have one row, ``latest_per_key`` reads the rows once and is the cheaper form."""
+    edges = df.groupBy(F.col(key).alias("_key")).agg(F.max(order_by[0]).alias("_edge"))
+    same = F.col(key).eqNullSafe(F.col("_key")) & F.col(order_by[0]).eqNullSafe(F.col("_edge"))
+    return latest_per_key(df.join(edges, same, "left_semi"), [key], order_by)
+
+
 def first_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
     """Smallest row per key, e.g. the record with the lowest id among duplicates."""
     rest = [c for c in df.columns if c not in keys]

@@ -170,6 +170,9 @@ def test_sigma_needs_more_than_ten_points(spark):
 def test_latest_and_first_rows(spark, rows):
     df = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), ("a", 2, "z"), ("b", 1, None)], "k string, t int, v string")
     assert rows(tables.latest_per_key(df, ["k"], ["t", "v"])) == [("a", 2, "z"), ("b", 1, None)]
+    odd = spark.createDataFrame([("a", None, "x"), ("a", 1, "p"), ("a", 1, "q"), ("b", None, "r"), (None, 3, "s"), (None, 2, "t")], df.schema)
+    assert rows(tables.latest_per_entity(odd, "k", ["t", "v"])) == rows(tables.latest_per_key(odd, ["k"], ["t", "v"]))
+    assert rows(tables.latest_per_entity(df.limit(0), "k", ["t"])) == []
     assert rows(tables.first_per_key(df, ["k"], ["t"])) == [("a", 1, "x"), ("b", 1, None)]
 
 
