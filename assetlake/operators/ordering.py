@@ -127,6 +127,53 @@ def row_numbers(
     )
 
 
+def _composite_cuts(df: DataFrame, columns: Sequence[str], size: int) -> DataFrame:
+    """One row with at most ``size - 1`` distinct ascending cuts, rows of ``df`` that part it into ranges of about equal row
+    count along ``columns``; from the 40 rows for each range with the smallest hash, a sample of fixed size."""
+    sample = df.select(F.struct(*columns).alias("cut")).orderBy(F.xxhash64("cut")).limit(40 * size)
+    ordered = sample.agg(F.sort_array(F.collect_list("cut")).alias("cuts"))
+    at = F.sequence(F.lit(1), F.lit(size - 1))
+    picked = F.transform(at, lambda i: F.get("cuts", F.floor(i * F.size("cuts") / size).cast("int")))
+    return ordered.select(F.array_distinct(F.array_compact(picked)).alias("cuts"))
+
+
+def _with_composite_range(df: DataFrame, columns: Sequence[str], size: int) -> DataFrame:
+    """Add the number of cuts at or below the row's ``columns`` and the cut that ends its range (null: none)."""
+    steps = [size >> i for i in range(1, size.bit_length())]
+    place = F.aggregate(
+        F.array(*[F.lit(s) for s in steps]),
+        F.lit(0),
+        lambda at, s: F.when(F.get("_cuts", at + s - 1) <= F.struct(*columns), at + s).otherwise(at),
+    )
+    cuts = _composite_cuts(df, columns, size).scalar()
+    return df.withColumn("_cuts", cuts).withColumn(RANGE, place).withColumn("_end", F.get("_cuts", F.col(RANGE))).drop("_cuts")
+
+
+def carried_rows(ranged: DataFrame, keys: Sequence[str], order_by: Sequence[str], lookback: int, columns: Sequence[str]) -> DataFrame:
+    """The last ``lookback`` rows before each range of the key that the range's lower border cuts, if it cuts one.
+
+    A range has one key at most that goes on beyond it, so there are no more than ranges x ``lookback`` of these rows.
+    """
+    goes_on = F.col("_end").isNotNull()
+    for k in keys:
+        goes_on = goes_on & F.col(k).eqNullSafe(F.col(f"_end.{k}"))
+    latest = Window.partitionBy(RANGE).orderBy(*[F.col(c).desc() for c in order_by])
+    tails = (
+        ranged.filter(goes_on)
+        .select(RANGE, *dict.fromkeys([*keys, *columns]))
+        .withColumn("_r", F.row_number().over(latest))
+        .filter(F.col("_r") <= lookback)
+        .groupBy(*keys, RANGE)
+        .agg(F.sort_array(F.collect_list(F.struct(*columns))).alias("_tail"))
+    )
+    # a range between two borders of one key holds at least one of its rows, so `lookback` ranges suffice
+    upto = Window.partitionBy(*_by(keys)).orderBy(RANGE).rowsBetween(1 - lookback, 0)
+    before = tails.withColumn("_prev", F.flatten(F.collect_list("_tail").over(upto)))
+    newest = F.slice("_prev", F.greatest(F.size("_prev") - lookback + 1, F.lit(1)), lookback)
+    rows = before.select(*keys, (F.col(RANGE) + 1).alias(RANGE), F.explode(newest).alias("_row"))
+    return rows.select(*keys, RANGE, *[F.col(f"_row.{c}").alias(c) for c in columns if c not in keys])
+
+
 def recent_rows(
     df: DataFrame,
     keys: Sequence[str],
@@ -139,29 +186,14 @@ def recent_rows(
     """Window expressions that look back at most ``lookback`` rows within ``keys``.
 
     ``compute`` receives the ordered window and returns the new columns; it may read ``columns`` only.
-    Every (key, range) cell is given the last ``lookback`` rows before it, so no cell needs its neighbours.
+    Rows are cut into ranges along (keys, order), so a small key lies in one range and a hot one in many; a range is given
+    the last ``lookback`` rows of the key that its border cuts, and no range needs its neighbours.
     """
-    ranged = with_range(df, order_by[0], ranges)
-    cell = [*keys, RANGE]
+    ranged = _with_composite_range(df, list(dict.fromkeys([*keys, *order_by])), ranges or range_count(df))
     carried = [*order_by, *[c for c in columns if c not in order_by]]
-
-    latest = Window.partitionBy(*cell).orderBy(*[F.col(c).desc() for c in order_by])
-    tails = (
-        ranged.select(*cell, *[c for c in carried if c not in cell])
-        .withColumn("_r", F.row_number().over(latest))
-        .filter(F.col("_r") <= lookback)
-        .groupBy(*cell)
-        .agg(F.sort_array(F.collect_list(F.struct(*carried))).alias("_tail"))
-    )
-    # every earlier cell holds at least one row, so the previous `lookback` cells suffice
-    earlier = Window.partitionBy(*_by(keys)).orderBy(RANGE).rowsBetween(-lookback, -1)
-    carry = (
-        tails.withColumn("_prev", F.flatten(F.collect_list("_tail").over(earlier)))
-        .withColumn("_prev", F.slice("_prev", F.greatest(F.size("_prev") - lookback + 1, F.lit(1)), lookback))
-        .select(*cell, F.inline("_prev"), F.lit(True).alias("_carry"))
-    )
-    ordered = Window.partitionBy(*cell).orderBy(*order_by)
-    rows = ranged.withColumn("_carry", F.lit(False)).unionByName(carry, allowMissingColumns=True)
+    carry = carried_rows(ranged, keys, order_by, lookback, carried).withColumn("_carry", F.lit(True))
+    ordered = Window.partitionBy(RANGE, *keys).orderBy(*order_by)
+    rows = ranged.drop("_end").withColumn("_carry", F.lit(False)).unionByName(carry, allowMissingColumns=True)
     return rows.withColumns(compute(ordered)).filter(~F.col("_carry")).drop(RANGE, "_carry")
 
 

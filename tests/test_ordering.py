@@ -113,6 +113,30 @@ def test_moving_average_and_lags_cross_the_cuts(skewed, ranges, monkeypatch):
         assert np.allclose(lagged[f"target_lag_{k}"], want.groupby("k").v.shift(k), equal_nan=True)
 
 
+def test_carried_rows_are_bounded_by_ranges(spark):
+    """Many small keys and one hot one at 1,024 ranges: only keys that a border cuts are carried."""
+    df = spark.range(20_000).selectExpr("CASE WHEN id % 3 = 0 THEN 0 ELSE id % 4000 END AS k", "id % 977 AS t", "id", "id * 0.5 AS v")
+    ranged = ordering._with_composite_range(df, ["k", "t", "id"], 1024)
+    per_range = ranged.groupBy("_range").count().toPandas()
+    assert len(per_range) > 900 and per_range["count"].max() < 100
+    carried = ordering.carried_rows(ranged, ["k"], ["t", "id"], 9, ["t", "id", "v"])
+    assert 0 < carried.count() <= 1024 * 9
+    assert carried.groupBy("k", "_range").count().agg(F.max("count")).first()[0] <= 9
+
+
+@pytest.mark.parametrize("ranges", [2, 64])
+def test_null_keys_text_keys_and_repeated_order_values(spark, ranges, monkeypatch):
+    monkeypatch.setattr(ordering, "range_count", lambda _: ranges)
+    data = [(k, t, i, float(i * i % 17)) for i, (k, t) in enumerate((k, t) for k in (None, "a", "b") for t in [None] + [1] * 30 + list(range(30)))]
+    df = spark.createDataFrame(data, "k string, t int, id int, v double")
+    got = {(r["id"]): r["moving_average"] for r in feat.moving_average(df, ["k"], ["t", "id"], "v", 5).collect()}
+    assert len(got) == len(data)
+    for key in (None, "a", "b"):
+        rows = sorted((r for r in data if r[0] == key), key=lambda r: (r[1] is not None, r[1] or 0, r[2]))
+        for i, r in enumerate(rows):
+            assert got[r[2]] == pytest.approx(np.mean([x[3] for x in rows[max(0, i - 4) : i + 1]]))
+
+
 def test_no_row_is_lost_or_doubled(skewed):
     pdf, df = skewed
     out = feat.rolling_features(df, ["k"], ["t", "id"], ["v"], 3)
