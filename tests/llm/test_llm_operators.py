@@ -3,6 +3,7 @@
 import hashlib
 import random
 import zlib
+from array import array
 from collections import defaultdict
 
 import numpy as np
@@ -382,3 +383,17 @@ def test_wavelet_matrix(n, top):
         assert matrix.access(i) == value and matrix.count(value) == len(places) and matrix.count(value, i) == (places < i).sum()
         assert [matrix.locate(value, k) for k in (0, len(places) - 1)] == [places[0], places[-1]]
     assert matrix.count(10**6) == 0
+
+
+def test_word_ids_with_small_generations(monkeypatch):
+    """Ids of texts put together from kept words are the library's, also when generations change within a few texts."""
+    monkeypatch.setattr(tokens, "KEPT_WORDS", 20)
+    monkeypatch.setattr(tokens, "KEPT_STEMS", 15)
+    encoder, library = tokens.WordIds(tokens.default_path()), Tokenizer.from_file(tokens.default_path())
+    parts = ["a", "B", "é", "É", "é", "'s", "'", "LL", "...", "%", "<", "<|endoftext|>", " ", "\n", "\x0b", "\x1c", "\x85", " ", "1", "23", "…", "̸", "=", "日", "x" * 70, "\u0000"]
+    rng = random.Random(3)
+    for _ in range(600):
+        texts = ["".join(rng.choices(parts, k=rng.randrange(25))) for _ in range(rng.randrange(5))]
+        want = [array("I", library.encode(t, add_special_tokens=False).ids).tobytes() for t in texts]
+        assert encoder.encode([t.encode() for t in texts]) == want
+    assert max(len(g.young) for g in (encoder.known, encoder.stems)) < 200
