@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import uuid
+from datetime import date, timedelta
 
 from pyspark.sql import functions as F
 
 from assetlake import schemas
 from assetlake.learning import models
 from assetlake.learning.splits import stratified_split
-from assetlake.operators import profiling, store, tables
+from assetlake.operators import profiling, reports, store, tables
 from assetlake.plans.queries_learning import FEATURES, KEYS, labelled
 from assetlake.plans.queries_streaming import _collect, _stream
 from assetlake.plans.registry import query
@@ -196,6 +197,73 @@ def u06(t):
     return tables.retain(t.raw_equipment.select("udi", "timestamp"), "timestamp", _now(), 365)
 
 
+@query(
+    "u06_retention_drop",
+    f"""SELECT 'raw' AS layer, CAST(timestamp AS DATE) AS day, count(*) AS before_rows,
+               CASE WHEN CAST(timestamp AS DATE) >= DATE '{LINES_NOW[:10]}' - INTERVAL '365' DAY THEN count(*) ELSE 0 END AS after_rows
+        FROM {{raw_equipment}} GROUP BY timestamp
+        UNION ALL
+        SELECT 'cleaned', CAST(cleaned_at AS DATE), count(*),
+               CASE WHEN CAST(cleaned_at AS DATE) >= DATE '{LINES_NOW[:10]}' - INTERVAL '730' DAY THEN count(*) ELSE 0 END
+        FROM {{cleaned}} GROUP BY cleaned_at""",
+    dates="day",
+)
+def u06_drop(t):
+    """Both layers as tables by month, old months dropped and the cut one rewritten: rows of each day before and after."""
+    prefix = f"run_{uuid.uuid4().hex}"
+    today = date.fromisoformat(LINES_NOW[:10])
+    t.spark.sql(f"CREATE DATABASE {prefix} LOCATION '{_folder(t, 'retention')}'")
+    try:
+        counts = None
+        for layer, rows, ts_col, days in (("raw", t.raw_equipment, "timestamp", 365), ("cleaned", t.cleaned, "cleaned_at", 730)):
+            name = f"{prefix}.{layer}"
+            catalog.create_dated_table(rows, name, ts_col, "month")
+            by_day = F.to_date(ts_col).alias("day")
+            sizes = [cut_lineage(t.spark.table(name).groupBy(by_day).agg(F.count(F.lit(1)).alias("n")))]
+            catalog.drop_before(t.spark, name, today - timedelta(days=days), ts_col, "month")
+            sizes.append(cut_lineage(t.spark.table(name).groupBy(by_day).agg(F.count(F.lit(1)).alias("n"))))
+            both = sizes[0].withColumnRenamed("n", "before_rows").join(sizes[1].withColumnRenamed("n", "after_rows"), "day", "left")
+            part = both.select(F.lit(layer).alias("layer"), "day", "before_rows", F.coalesce("after_rows", F.lit(0).cast("long")).alias("after_rows"))
+            counts = part if counts is None else counts.unionByName(part)
+        return counts
+    finally:
+        t.spark.sql(f"DROP DATABASE {prefix} CASCADE")
+
+
+@query(
+    "a11_daily_statistics_refreshed",
+    """SELECT CAST(cleaned_at AS DATE) AS statistic_date, count(*) AS total_records,
+              count(CASE WHEN is_valid THEN 1 END) AS valid_records, count(CASE WHEN NOT is_valid THEN 1 END) AS invalid_records,
+              avg(air_temperature_k) AS avg_air_temp, avg(process_temperature_k) AS avg_process_temp,
+              count(CASE WHEN target = 1 THEN 1 END) AS failure_count,
+              round(100.0 * count(CASE WHEN target = 1 THEN 1 END) / count(*), 2) AS failure_rate_percent
+       FROM {cleaned} GROUP BY 1""",
+    floats="avg_air_temp avg_process_temp failure_rate_percent",
+    dates="statistic_date",
+    scale=9,
+)
+def a11_refreshed(t):
+    """The stored summary after a late load: first all but the rows of some loads, then those rows and their months only."""
+    prefix = f"run_{uuid.uuid4().hex}"
+    late = (F.year("cleaned_at") == 2000) & F.col("udi").endswith("2")
+
+    def daily(rows):
+        return reports.daily_statistics(rows).withColumn("period", F.trunc("statistic_date", "MM"))
+
+    t.spark.sql(f"CREATE DATABASE {prefix} LOCATION '{_folder(t, 'refresh')}'")
+    try:
+        source, summary = f"{prefix}.cleaned", f"{prefix}.daily_statistics"
+        catalog.create_dated_table(t.cleaned.filter(~late), source, "cleaned_at", "month")
+        daily(t.spark.table(source)).write.format("parquet").partitionBy("period").saveAsTable(summary)
+        loaded = t.cleaned.filter(late).withColumn("period", catalog.period_of("cleaned_at", "month"))
+        catalog.append_rows(loaded, source)
+        touched = [r["period"] for r in loaded.select("period").distinct().collect()]
+        catalog.refresh_periods(t.spark, source, summary, touched, daily)
+        return cut_lineage(t.spark.table(summary).drop("period"))
+    finally:
+        t.spark.sql(f"DROP DATABASE {prefix} CASCADE")
+
+
 # --- registry --------------------------------------------------------------------------------------------
 
 

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable, Sequence
+from datetime import date
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from assetlake.schemas import LAYERS
+from assetlake.session import shuffle_partitions, stored
 
 
 def layer_tables(prefix: str = "") -> dict[str, tuple]:
@@ -48,3 +53,63 @@ def replace_partitions(df: DataFrame, name: str) -> None:
 
 def append_rows(df: DataFrame, name: str) -> None:
     df.select(*df.sparkSession.table(name).columns).write.mode("append").insertInto(name)
+
+
+def period_of(ts_col: str, unit: str) -> Column:
+    """First date of the day or month of a time."""
+    return F.to_date(F.date_trunc(unit, F.col(ts_col)))
+
+
+def create_dated_table(df: DataFrame, name: str, ts_col: str, unit: str = "day") -> None:
+    """Write a frame as a table with one partition ``period`` for each day or month of ``ts_col``; rows without a time lie in
+    the null partition. Rows are dealt by ranges of (period, hash of the row): small periods share a task, a hot one has
+    several, and there are at most as many files as periods and tasks together."""
+    dated = df.withColumn("period", period_of(ts_col, unit))
+    mixed = F.xxhash64(*[c for c, kind in df.dtypes if not kind.startswith("map")])
+    dealt = dated.repartitionByRange(shuffle_partitions(df.sparkSession), F.col("period"), mixed)
+    dealt.write.mode("overwrite").format("parquet").partitionBy("period").saveAsTable(name)
+
+
+def periods(spark: SparkSession, name: str) -> list[date]:
+    """First dates of the partitions of a dated table, from the catalog; no data is read."""
+    found = [r["partition"].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()]
+    return sorted(date.fromisoformat(d) for d in found if d not in ("__HIVE_DEFAULT_PARTITION__", "null"))
+
+
+def _drop_periods(spark: SparkSession, name: str, doomed: Sequence[date]) -> None:
+    for start in range(0, len(doomed), 100):
+        specs = ", ".join(f"PARTITION (period = DATE'{d}')" for d in doomed[start : start + 100])
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {specs}")
+
+
+def drop_before(spark: SparkSession, name: str, first_kept: date, ts_col: str, unit: str = "day") -> list[date]:
+    """Retention: drop the partitions that end before ``first_kept``, files included; rows without a time stay.
+
+    A catalog operation for whole partitions, whatever they hold. Of a month that the date cuts, only that partition is
+    written again, without its older rows; no other partition is read or written. Returns the dropped periods.
+    """
+    known = periods(spark, name)
+    cut = first_kept.replace(day=1) if unit == "month" else first_kept
+    doomed = [d for d in known if d < cut]
+    _drop_periods(spark, name, doomed)
+    if cut in known and cut != first_kept:
+        kept = F.col(ts_col) >= F.lit(first_kept).cast("timestamp_ntz")
+        rest = stored(spark.table(name).filter(F.col("period") == F.lit(cut)).filter(kept), "retained")
+        if rest.isEmpty():
+            _drop_periods(spark, name, [cut])
+            doomed.append(cut)
+        else:
+            replace_partitions(rest, name)
+    return doomed
+
+
+def refresh_periods(spark: SparkSession, source: str, summary: str, touched: Sequence[date], summarise: Callable[[DataFrame], DataFrame]) -> None:
+    """Recompute a summary for the given periods of a dated table and replace only their partitions.
+
+    ``summarise`` keeps the column ``period``. The filter on it prunes the scan to those partitions. A period that no longer
+    has rows loses its partition of the summary.
+    """
+    if not touched:
+        return
+    replace_partitions(summarise(spark.table(source).filter(F.col("period").isin(list(touched)))), summary)
+    _drop_periods(spark, summary, sorted(set(touched) - set(periods(spark, source))))

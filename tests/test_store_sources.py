@@ -1,5 +1,5 @@
 import json
-from datetime import datetime
+from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -195,3 +195,59 @@ def test_kafka_options():
     assert source["maxOffsetsPerTrigger"] == "500" and 'username="u"' in source["kafka.sasl.jaas.config"]
     assert settings.sink_options("alerts")["topic"] == "alerts"
     assert "kafka.security.protocol" not in KafkaSettings().source_options()
+
+
+def days_of(path):
+    return {p.name: sorted((f.name, f.stat().st_mtime_ns) for f in p.glob("*.parquet")) for p in path.glob("*=*")}
+
+
+def test_retention_drops_partitions_and_refresh_touches_only_its_days(spark, tmp_path):
+    days = [f"2024-01-0{d}" for d in range(1, 8)]
+    data = [(i, days[i % 7] + " 10:00:00", i % 3 == 0) for i in range(70)] + [(70, None, True)]
+    rows = spark.createDataFrame(data, "id int, t string, ok boolean").withColumn("t", F.col("t").cast("timestamp_ntz"))
+
+    def summarise(df):
+        return df.groupBy("period").agg(F.count(F.lit(1)).alias("n")).select("n", "period")
+
+    spark.sql(f"CREATE DATABASE keep_days LOCATION '{tmp_path}/db'")
+    try:
+        name, first = "keep_days.raw", date(2024, 1, 4)
+        catalog.create_dated_table(rows, name, "t")
+        summarise(spark.table(name).filter("period IS NOT NULL")).write.partitionBy("period").saveAsTable("keep_days.daily")
+        raw, daily = tmp_path / "db/raw", tmp_path / "db/daily"
+        before = days_of(raw)
+        assert [str(d) for d in catalog.periods(spark, name)] == days
+        assert [str(d) for d in catalog.drop_before(spark, name, first, "t")] == days[:3]
+        after = days_of(raw)
+        assert {k for k in before if k not in after} == {f"period={d}" for d in days[:3]}
+        assert all(after[k] == before[k] for k in after)  # what is kept is not written again
+        kept = {r["id"] for r in spark.table(name).collect()}
+        assert kept == {i for i in range(70) if i % 7 >= 3} | {70}
+        assert catalog.drop_before(spark, name, first, "t") == []
+
+        more = spark.createDataFrame([(100, days[4])], "id int, day string").select(
+            "id", F.col("day").cast("timestamp_ntz").alias("t"), F.lit(True).alias("ok"), F.col("day").cast("date").alias("period")
+        )
+        catalog.append_rows(more, name)
+        before = days_of(daily)
+        catalog.refresh_periods(spark, name, "keep_days.daily", [date(2024, 1, 5), date(2024, 1, 1)], summarise)
+        after = days_of(daily)
+        assert set(before) - set(after) == {f"period={days[0]}"}
+        assert {k for k in after if after[k] != before[k]} == {f"period={days[4]}"}
+        counts = {str(r["period"]): r["n"] for r in spark.table("keep_days.daily").collect()}
+        assert counts == {d: 11 if d == days[4] else 10 for d in days[1:]}
+        catalog.refresh_periods(spark, name, "keep_days.daily", [], summarise)
+        assert days_of(daily) == after
+
+        monthly = rows.withColumn("t", F.expr("t + make_interval(0, id % 3)"))  # three months, the second is cut
+        catalog.create_dated_table(monthly, "keep_days.monthly", "t", "month")
+        before = days_of(tmp_path / "db/monthly")
+        assert catalog.drop_before(spark, "keep_days.monthly", date(2024, 2, 4), "t", "month") == [date(2024, 1, 1)]
+        after = days_of(tmp_path / "db/monthly")
+        assert set(before) - set(after) == {"period=2024-01-01"}
+        assert {k for k in after if after[k] != before[k]} == {"period=2024-02-01"}
+        assert {r["id"] for r in spark.table("keep_days.monthly").collect()} == {
+            i for i in range(70) if i % 3 == 2 or (i % 3 == 1 and i % 7 >= 3)
+        } | {70}
+    finally:
+        spark.sql("DROP DATABASE keep_days CASCADE")
