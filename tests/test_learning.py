@@ -1,9 +1,10 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
-from assetlake.learning import balancing, models, neighbors, splits
+from assetlake.learning import balancing, boosting, models, neighbors, splits
 from assetlake.session import cut_lineage
 from assetlake.streaming import scoring
 
@@ -167,3 +168,90 @@ def test_cached_results(spark):
     hits, misses = scoring.with_cached(asked, cached, F.lit("2024-01-01 12:00:00").cast("timestamp_ntz"))
     assert [r["equipment_id"] for r in hits.collect()] == ["e1"]
     assert sorted(r["equipment_id"] for r in misses.collect()) == ["e2", "e3"]
+
+
+def plain_boosting(x, y, w, cuts, rounds, depth, rate=0.1, l2=1.0):
+    """Second-order boosting row by row over nodes, without histograms, trees as nested tuples."""
+    bins = np.stack([np.where(np.isnan(v), 0, np.searchsorted(c, v) + 1) for v, c in zip(x.T, cuts)], axis=1)
+    margin = np.zeros(len(y))
+
+    def grow(rows, g, h, level):
+        value = -rate * g[rows].sum() / (h[rows].sum() + l2)
+        best = (0.0, None, None)
+        if level < depth:
+            for f in range(x.shape[1]):
+                for b in range(bins[:, f].max() + 1):
+                    left = rows & (bins[:, f] <= b)
+                    right = rows & (bins[:, f] > b)
+                    if not left.any() or not right.any() or min(h[left].sum(), h[right].sum()) < 1.0:
+                        continue
+                    parts = [g[part].sum() ** 2 / (h[part].sum() + l2) for part in (left, right, rows)]
+                    gain = round((parts[0] + parts[1] - parts[2]) / 2, 9)
+                    if gain > best[0]:
+                        best = (gain, left, right)
+        if best[1] is None:
+            margin[rows] += value
+        else:
+            grow(best[1], g, h, level + 1)
+            grow(best[2], g, h, level + 1)
+
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-margin))
+        grow(np.ones(len(y), bool), w * (p - y), w * p * (1 - p), 0)
+    return 1 / (1 + np.exp(-margin))
+
+
+@pytest.mark.parametrize("store_every", [2, 10])
+def test_second_order_boosting_equals_a_plain_version(spark, data, monkeypatch, store_every):
+    monkeypatch.setattr(boosting, "STORE_EVERY", store_every)
+    pdf = data[0].copy()
+    pdf["a"] = pdf.a.mask(pdf.id % 17 == 0)
+    pdf["b"] = pdf.b.round(1)
+    df = spark.createDataFrame(pdf.astype({"a": object}).where(pdf.notna(), None), "id long, label int, a double, b double")
+    weight = len(pdf) / (2 * pdf.label.map(pdf.label.value_counts()))
+    model = boosting.fit(df, COLUMNS, rounds=5, depth=3, bins=16)
+    want = plain_boosting(pdf[COLUMNS].to_numpy(float), pdf.label.to_numpy(), weight.to_numpy(), model.cuts, 5, 3)
+    got = models.score(model, df).orderBy("id").toPandas().p
+    assert np.abs(got - want).max() < 1e-9
+    again = boosting.BoostedModel.from_json(model.to_json())
+    assert (models.score(again, df).orderBy("id").toPandas().p == got).all()
+    assert model.importance()["a"] > 0
+
+
+def test_second_order_boosting_of_odd_tables(spark, data):
+    df = data[1].limit(50)
+    kind = "a double, b double, label int"
+    empty = boosting.fit(spark.createDataFrame([], kind), COLUMNS, rounds=3)
+    assert not empty.trees and set(models.score(empty, df).toPandas().p) == {0.5}
+    rows = [(1.0, None, 1), (float("nan"), None, 1), (2.0, None, 1), (None, None, None)]
+    single = boosting.fit(spark.createDataFrame(rows, kind), COLUMNS, rounds=3, depth=2)
+    assert len(single.trees) == 3 and (models.score(single, df).toPandas().p > 0.5).all()
+
+
+def ring(n, seed):
+    draws = np.random.default_rng(seed)
+    radius, angle = np.where(np.arange(n) % 2, 3, 1) + draws.normal(0, 0.2, n), draws.uniform(0, 2 * np.pi, n)
+    return pd.DataFrame({"label": np.arange(n) % 2, "a": radius * np.cos(angle), "b": radius * np.sin(angle)})
+
+
+def test_fourier_features_approximate_the_kernel(spark, tmp_path):
+    size, gamma = 2000, 0.5
+    rows = ring(40, 3)
+    vectors = VectorAssembler(inputCols=COLUMNS, outputCol="scaled").transform(spark.createDataFrame(rows))
+    made = models.FourierFeatures(width=2, size=size, gamma=gamma)
+    z = np.stack(made.transform(vectors).toPandas().features.map(lambda v: v.toArray()))
+    x = rows[COLUMNS].to_numpy()
+    kernel = np.exp(-gamma * ((x[:, None] - x[None]) ** 2).sum(2))
+    assert np.abs(z @ z.T - kernel).max() < 5 * np.sqrt(1.5 / size)  # five deviations of one product
+    made.save(str(tmp_path / "f"))
+    again = models.FourierFeatures.load(str(tmp_path / "f")).transform(vectors).toPandas().features
+    assert (z == np.stack(again.map(lambda v: v.toArray()))).all()
+
+
+def test_radial_kernel_beats_the_linear_one_on_a_ring(spark):
+    train, test = spark.createDataFrame(ring(600, 1)), spark.createDataFrame(ring(300, 2))
+    right = {}
+    for name in ("radial_svc", "linear_svc"):
+        scored = models.score(models.fit(train, getattr(models, name)(COLUMNS)), test).toPandas()
+        right[name] = ((scored.p >= 0.5) == scored.label).mean()
+    assert right["radial_svc"] > 0.97 and right["linear_svc"] < 0.7
