@@ -218,6 +218,19 @@ def test_second_order_boosting_equals_a_plain_version(spark, data, monkeypatch,
     assert model.importance()["a"] > 0
 
 
+@pytest.mark.parametrize("bins, width", [(16, 1), (300, 4)])
+def test_second_order_boosting_keeps_rows_in_blocks(spark, data, monkeypatch, bins, width):
+    pdf, df = data
+    kept, weights = [], len(pdf) / (2 * pdf.label.map(pdf.label.value_counts())).to_numpy()
+    keep = boosting.stored
+    monkeypatch.setattr(boosting, "stored", lambda frame, name: kept.append(keep(frame, name)) or kept[-1])
+    model = boosting.fit(df, COLUMNS, rounds=2, depth=2, bins=bins)
+    want = plain_boosting(pdf[COLUMNS].to_numpy(float), pdf.label.to_numpy(), weights, model.cuts, 2, 2)
+    assert np.abs(models.score(model, df).orderBy("id").toPandas().p - want).max() < 1e-9
+    blocks = kept[0].toPandas()
+    assert len(blocks) <= 4 and blocks.bins.map(len).sum() == width * len(COLUMNS) * len(pdf)
+
+
 def test_second_order_boosting_of_odd_tables(spark, data):
     df = data[1].limit(50)
     kind = "a double, b double, label int"
