@@ -1,10 +1,11 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml.classification import LinearSVC
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
-from assetlake.learning import balancing, boosting, models, neighbors, splits
+from assetlake.learning import balancing, boosting, hinge, models, neighbors, splits
 from assetlake.session import cut_lineage
 from assetlake.streaming import scoring
 
@@ -268,3 +269,36 @@ def test_radial_kernel_beats_the_linear_one_on_a_ring(spark):
         scored = models.score(models.fit(train, getattr(models, name)(COLUMNS)), test).toPandas()
         right[name] = ((scored.p >= 0.5) == scored.label).mean()
     assert right["radial_svc"] > 0.97 and right["linear_svc"] < 0.7
+
+
+def test_radial_fit_keeps_no_features_and_reaches_the_loss_of_a_kept_fit(spark, monkeypatch, tmp_path):
+    train = splits.with_balanced_weight(spark.createDataFrame(ring(600, 1)), "label")
+    stages = models.radial_svc(COLUMNS, size=32).getStages()
+    assembled, scaled = stages[0], stages[1]
+    flat = assembled.transform(train)
+    ready = scaled.fit(flat).transform(flat)
+    features = stages[2].transform(ready)
+    kept = LinearSVC(weightCol="weight", maxIter=100).fit(features)
+    rows = features.toPandas()
+    z, y, w = np.stack(rows.features.map(lambda v: v.toArray())), 2 * rows.label - 1, rows.weight
+
+    def loss(coefficients, intercept):
+        return (w * np.maximum(0, 1 - y * (z @ np.array(coefficients) + intercept))).sum() / w.sum()
+
+    monkeypatch.setattr(models.FourierFeatures, "_transform", lambda self, df: df.withColumn("features", F.raise_error(F.lit("made")).cast("string")))
+    monkeypatch.setattr(hinge, "AT_ONCE", 50)
+    made = models.radial_svc(COLUMNS, size=32).fit(train)
+    part = made.stages[3]
+    fitted = part.getOrDefault("coefficients"), part.getOrDefault("intercept")
+    assert loss(*fitted) <= 1.02 * loss(kept.coefficients.toArray(), kept.intercept) + 1e-3
+    margin = np.stack(part.transform(ready).toPandas().margin.map(lambda v: v.toArray()))[:, 1]
+    assert np.abs(margin - (z @ np.array(fitted[0]) + fitted[1])).max() < 1e-9
+    part.save(str(tmp_path / "m"))
+    again = np.stack(hinge.FourierMargin.load(str(tmp_path / "m")).transform(ready).toPandas().margin.map(lambda v: v.toArray()))[:, 1]
+    assert (again == margin).all()
+
+
+def test_radial_fit_refuses_other_labels(spark):
+    rows = spark.createDataFrame([(1.0, 2.0, 0), (2.0, 1.0, 1), (3.0, 3.0, 2)], "a double, b double, label int")
+    with pytest.raises(Exception, match="label must be 0 or 1"):
+        models.fit(rows, models.radial_svc(COLUMNS, size=8))
