@@ -74,6 +74,11 @@ def validate(sensor_rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return checked.filter(F.size("reasons") == 0).drop("reasons"), checked.filter(F.size("reasons") > 0)
 
 
+def judge(sensor_rows: DataFrame) -> DataFrame:
+    """Every message with ``usable`` and ``reasons``, as ``split_usable`` and ``validate`` part them, in one pass."""
+    return compute_once(sensor_rows, usable().alias("usable"), val.sensor_errors().alias("reasons"))
+
+
 def enrich(sensor_rows: DataFrame) -> DataFrame:
     return sensor_rows.withColumns({**feat.calendar_columns("event_time"), **feat.sensor_ratio_columns()})
 

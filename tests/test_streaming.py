@@ -262,6 +262,26 @@ def check_against_oracle(spark, rows, name, folder):
     assert rows(found, *columns) == sorted(want, key=repr)
 
 
+def test_messages_are_validated_in_one_stream(spark, rows, monkeypatch, split_tables):
+    started, run_stream = [], sinks.run_available
+    monkeypatch.setattr(sinks, "run_available", lambda *a, **k: started.append(1) or run_stream(*a, **k))
+    check_against_oracle(spark, rows, "x01_x03_stream_validation", split_tables)
+    assert len(started) == 1
+
+
+def test_judged_messages_equal_the_parted_ones(spark):
+    parsed = messages.parse(spark.createDataFrame([(m,) for m in GOOD + BAD], "value string"))
+    judged = messages.judge(messages.with_sensor_columns(parsed))
+    usable, unusable = messages.split_usable(parsed)
+    valid, refused = messages.validate(messages.with_sensor_columns(usable))
+    def texts(frame, *columns):
+        return sorted(map(repr, frame.select("raw", *columns).collect()))
+
+    assert texts(judged.filter("usable AND size(reasons) = 0")) == texts(valid)
+    assert texts(judged.filter("usable AND size(reasons) > 0"), "reasons") == texts(refused, "reasons")
+    assert texts(judged.filter("NOT usable")) == texts(unusable)
+
+
 def test_throughput_persists_what_it_counts_and_writes(spark, rows, monkeypatch, split_tables):
     seen, metered = [], progress.metered
 
