@@ -17,6 +17,8 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 HISTORY_DEPTH = 10  # fixed value
 ONLINE_TTL_MS = 7 * 24 * 3600 * 1000  # fixed value: seven days
 SCORE_TTL_MS = 5 * 60 * 1000
+SLOTS = 6  # time slots a held window is cut into; a series' slot has a state of its own
+CHUNK = 10_000  # readings handed to the state at once
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -30,6 +32,7 @@ WINDOW_SCHEMA = (
     "min double, max double, range double, anomalies array<double>"
 )
 HELD_SCHEMA = "equipment_id string, sensor string, event_us long, value double, status string"
+HELD_ROW = row_of(HELD_SCHEMA)
 CACHED_SCHEMA = "request_id string, failure_probability double, cached boolean"
 
 
@@ -102,10 +105,11 @@ def sliding_windows(panes: DataFrame, window_ms: int, slide_ms: int) -> DataFram
 
 
 class HeldReadings(StatefulProcessor):
-    """Readings of one series while the watermark is within ``window_ms`` of them.
+    """Readings of one series and time slot while the watermark is within ``window_ms`` of them.
 
     Emits a reading as ``kept`` when it arrives, as ``late`` instead if the watermark is already past its time, and as
-    ``evicted`` when the watermark passes it.
+    ``evicted`` when the watermark passes it. At most ``CHUNK`` arriving readings, and when the watermark stands inside a slot
+    the rest of that slot, are held in Python.
     """
 
     def __init__(self, window_ms: int):
@@ -120,22 +124,27 @@ class HeldReadings(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         passed = timerValues.getCurrentWatermarkInMs() * 1000
-        fresh = []
+        fresh, first = [], None
         for r in rows:
             late = r["event_us"] + self.window_us <= passed
             if not late:
                 fresh.append((r["event_us"], r["value"]))
-            yield row_of(HELD_SCHEMA)(*key, r["event_us"], r["value"], "late" if late else "kept")
+                first = r["event_us"] if first is None else min(first, r["event_us"])
+            if len(fresh) == CHUNK:
+                self.held.appendList(fresh)
+                fresh = []
+            yield HELD_ROW(*key[:2], r["event_us"], r["value"], "late" if late else "kept")
         if fresh:
             self.held.appendList(fresh)
-            self._wait_for(min(fresh)[0])
+        if first is not None:
+            self._wait_for(first)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         passed = timerValues.getCurrentWatermarkInMs() * 1000
         rest = []
         for event_us, value in self.held.get():
             if event_us + self.window_us <= passed:
-                yield row_of(HELD_SCHEMA)(*key, event_us, value, "evicted")
+                yield HELD_ROW(*key[:2], event_us, value, "evicted")
             else:
                 rest.append((event_us, value))
         if rest:
@@ -152,11 +161,13 @@ def held_readings(series: DataFrame, window_ms: int = 60_000, delay: str = "0 se
     """Every reading of a stream as ``kept`` or ``late``, and again as ``evicted`` once the watermark has left it behind.
 
     ``series``: equipment_id, sensor, value, event_time. The watermark is kept off the rows that reach the state, so that
-    Spark does not drop late ones before they are seen.
+    Spark does not drop late ones before they are seen. A reading's status depends on its own time alone, so a series is
+    dealt over tasks by slots of a ``SLOTS``-th of the window.
     """
     series.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    plain = series.withWatermark("event_time", delay).select("equipment_id", "sensor", "value", F.unix_micros("event_time").alias("event_us"))
-    out = plain.groupBy("equipment_id", "sensor").transformWithState(
+    timed = series.withWatermark("event_time", delay).withColumn("event_us", F.unix_micros("event_time"))
+    slot = F.floor(F.col("event_us") / F.lit(window_ms * 1000 / SLOTS)).alias("slot")
+    out = timed.select("equipment_id", "sensor", "value", "event_us", slot).groupBy("equipment_id", "sensor", "slot").transformWithState(
         HeldReadings(window_ms),
         outputStructType=HELD_SCHEMA,
         outputMode="append",

@@ -253,6 +253,37 @@ def test_results_do_not_depend_on_micro_batches(spark, rows, monkeypatch, split_
     assert len(got) > 0 and got == sorted(want, key=repr)
 
 
+def test_held_readings_reach_the_state_in_chunks():
+    class Handle:
+        def __init__(self):
+            self.sizes, self.timers = [], []
+
+        def getListState(self, name, schema):
+            return self
+
+        def appendList(self, values):
+            self.sizes.append(len(values))
+
+        def registerTimer(self, at):
+            self.timers.append(at)
+
+    class Times:
+        def getCurrentWatermarkInMs(self):
+            return 100_000
+
+    handle, held = Handle(), state.HeldReadings(60_000)
+    held.init(handle)
+    out = list(held.handleInputRows(("e", "s", 0), ({"event_us": 30_000_000 + i * 1000, "value": 1.0} for i in range(35_000)), Times()))
+    assert sum(r["status"] == "late" for r in out) == 10_001 and len(out) == 35_000
+    assert sum(handle.sizes) == 24_999 and max(handle.sizes) <= 10_000 and handle.timers == [100_001]
+
+
+def test_held_series_is_cut_into_slots(spark, source):
+    _, stream = source
+    plan = state.held_readings(messages.series(messages.split_usable(stream())[0]))._jdf.queryExecution().analyzed().toString()
+    assert "slot" in plan
+
+
 def check_against_oracle(spark, rows, name, folder):
     found = REGISTRY[name].run(spark, folder)
     columns = sorted(found.columns)
