@@ -162,6 +162,23 @@ def test_cross_validation_and_search(data):
     assert best["maxIter"] == 2 and 0 <= recall <= 1
 
 
+def test_permutation_importance_joins_once(data, fitted, monkeypatch):
+    _, df = data
+    joins, curves = [], []
+    shuffled, area = models.shuffled_columns, models.roc_auc
+    monkeypatch.setattr(models, "shuffled_columns", lambda n, c: joins.append(list(c)) or shuffled(n, c))
+    monkeypatch.setattr(models, "roc_auc", lambda *a: curves.append(1) or area(*a))
+    got = {r["feature"]: r["auc_loss"] for r in models.permutation_importance(fitted, df, COLUMNS, ["id"]).collect()}
+    assert joins == [COLUMNS] and len(curves) == 1
+    numbered = models.numbered_twice(df.select("id", *COLUMNS, "label"), ["id"])
+
+    def auc(frame):
+        return area(models.score(fitted, frame).select(F.col("label").alias("actual"), "p")).first()["auc"]
+
+    for c in COLUMNS:
+        assert got[c] == pytest.approx(auc(numbered) - auc(models.shuffled_column(numbered, c)), abs=1e-12)
+
+
 def test_cached_results(spark):
     stored = spark.createDataFrame([("e1", "2024-01-01 11:58:00", 0.9, 1), ("e2", "2024-01-01 11:00:00", 0.2, 0)], "equipment_id string, t string, failure_probability double, predicted_failure int")
     cached = scoring.last_results(stored.select("equipment_id", F.col("t").cast("timestamp_ntz").alias("event_time"), "failure_probability", "predicted_failure"))
