@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 VOCABULARY = "word_bpe_49k.json"
 LONG_WORD = 64  # bytes; a longer word's ids are not kept
 KEPT_WORDS, KEPT_STEMS = 200_000, 300_000  # entries of a generation of about 200 bytes each; a Python worker keeps two
-_MARKS = string.punctuation.replace("<", "").encode()
+_MARKS = string.punctuation.replace("<", "")
 
 _OPEN: dict[str, "WordIds"] = {}
 
@@ -52,8 +52,20 @@ class Generations:
             self.young, self.old = {}, self.young
 
 
+def _plain(strings: pa.Array) -> list[bytes]:
+    return strings.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+
+
+def _gathered(flat: np.ndarray, sizes: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of ``flat``, which have the given sizes, in the order of ``codes``, and where they begin and end."""
+    starts = np.cumsum(sizes) - sizes
+    lengths = sizes[codes]
+    ends = np.concatenate([[0], np.cumsum(lengths)])
+    return flat[np.repeat(starts[codes] - ends[:-1], lengths) + np.arange(ends[-1])], ends
+
+
 class WordIds:
-    """Ids of texts as unsigned 32-bit integers, least byte first."""
+    """Ids of texts as unsigned 32-bit integers, least byte first. ``stems`` keeps ids of lowered strings, ``known`` of others."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -62,37 +74,33 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.known, self.stems = Generations(KEPT_WORDS), Generations(KEPT_STEMS)
 
-    def _stems(self, stems: list[bytes]) -> dict[bytes, bytes]:
+    def _ids(self, kept: Generations, strings: list[bytes]) -> list[bytes]:
         """Ids of distinct strings."""
-        found = self.stems.find(stems)
-        new = [s for s, v in zip(stems, found) if v is None]
-        plain = [s.decode("utf-8") for s in new]
-        made = [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(plain, add_special_tokens=False)]
-        self.stems.add((s, v) for s, v in zip(new, made) if len(s) <= LONG_WORD)
-        ids = dict(zip(stems, found))
-        ids.update(zip(new, made))
-        return ids
-
-    def _learn(self, words: list[bytes]) -> list[bytes]:
-        """Ids of distinct words. Of a word without "<" (which may begin a special string) ASCII marks at the end, after an ASCII
-        letter or digit, are set apart and ASCII letters are lowered: letters and marks are never in one token and the
-        tokenizer folds case, so the ids are the same and fewer strings are encoded."""
-        stems, marks = [], []
-        for w in words:
-            stem, mark = w, b""
-            if b"<" not in w:
-                stem = w.rstrip(_MARKS)
-                if stem[-1:].isalnum():
-                    mark = w[len(stem) :]
-                else:
-                    stem = w
-                stem = stem.lower()
-            stems.append(stem)
-            marks.append(mark)
-        ids = self._stems(list({*stems, *marks}))
-        out = [ids[stem] + ids[mark] if mark else ids[stem] for stem, mark in zip(stems, marks)]
-        self.known.add((w, v) for w, v in zip(words, out) if len(w) <= LONG_WORD)
-        return out
+        found = kept.find(strings)
+        new = [i for i, v in enumerate(found) if v is None]
+        plain = [strings[i].decode("utf-8") for i in new]
+        for i, e in zip(new, self.tokenizer.encode_batch_fast(plain, add_special_tokens=False)):
+            found[i] = array("I", e.ids).tobytes()
+        kept.add((strings[i], found[i]) for i in new if len(strings[i]) <= LONG_WORD)
+        return found
+
+    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct words, one word after another, and how many each has. Of a word without "<" (which may begin a special
+        string) ASCII marks at the end, after an ASCII letter or digit, are set apart and ASCII letters are lowered: letters and
+        marks are never in one token and the tokenizer folds case, so the ids are the same and fewer strings are encoded."""
+        stems = pc.ascii_rtrim(words, characters=_MARKS)
+        stems = pc.ascii_lower(pc.if_else(pc.match_substring_regex(stems, "[0-9A-Za-z]$"), stems, words))
+        stems = pc.if_else(pc.match_substring(words, "<"), "", stems)
+        lengths = pc.binary_length(stems).to_numpy()
+        longer = np.flatnonzero(lengths < pc.binary_length(words).to_numpy())
+        rest = [w[n:] for w, n in zip(_plain(words.take(pa.array(longer))), lengths[longer].tolist())]
+        stems, rest = stems.dictionary_encode(), pa.array(rest, pa.binary()).dictionary_encode()
+        found = [*self._ids(self.stems, _plain(stems.dictionary)), *self._ids(self.known, _plain(rest.dictionary)), b""]
+        parts = np.full((len(words), 2), len(found) - 1)  # a stem and what follows it, or nothing
+        parts[:, 0] = stems.indices.to_numpy()
+        parts[longer, 1] = rest.indices.to_numpy() + len(stems.dictionary)
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        return _gathered(np.frombuffer(b"".join(found), "<u4"), sizes, parts.ravel())[0], sizes[parts].sum(axis=1)
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text, without added special tokens. Distinct words are looked up once for all texts."""
@@ -100,20 +108,10 @@ class WordIds:
         self.stems.age()
         split = pc.ascii_split_whitespace(pa.array(texts, pa.string()))
         coded = split.values.dictionary_encode()
-        words = coded.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
-        found = self.known.find(words)
-        missing = [i for i, v in enumerate(found) if v is None]
-        for i, value in zip(missing, self._learn([words[i] for i in missing])):
-            found[i] = value
-        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
-        starts = np.cumsum(sizes) - sizes
-        codes = coded.indices.to_numpy()
-        lengths = sizes[codes]
-        ends = np.concatenate([[0], np.cumsum(lengths)])
-        at = np.repeat(starts[codes] - ends[:-1], lengths) + np.arange(ends[-1])
-        ids = np.frombuffer(b"".join(found), "<u4")[at].tobytes()
+        ids, ends = _gathered(*self._words(coded.dictionary), coded.indices.to_numpy())
+        joined = ids.tobytes()
         cuts = (4 * ends[split.offsets.to_numpy()]).tolist()
-        return [ids[lo:hi] for lo, hi in zip(cuts, cuts[1:])]
+        return [joined[lo:hi] for lo, hi in zip(cuts, cuts[1:])]
 
 
 def opened(path: str) -> WordIds:

@@ -397,3 +397,13 @@ def test_word_ids_with_small_generations(monkeypatch):
         want = [array("I", library.encode(t, add_special_tokens=False).ids).tobytes() for t in texts]
         assert encoder.encode([t.encode() for t in texts]) == want
     assert max(len(g.young) for g in (encoder.known, encoder.stems)) < 200
+
+
+def test_word_ids_keep_stems_not_words():
+    """Words that differ in case or in marks at the end are one kept string; nothing is kept for each of them."""
+    encoder, library = tokens.WordIds(tokens.default_path()), Tokenizer.from_file(tokens.default_path())
+    texts = ["Wind wind, WIND! wind.", "<b>Wind wind,"]
+    want = [array("I", library.encode(t, add_special_tokens=False).ids).tobytes() for t in texts]
+    assert encoder.encode([t.encode() for t in texts]) == want
+    assert set(encoder.stems.young) - {b""} == {b"wind"}
+    assert set(encoder.known.young) == {b",", b"!", b".", b"<b>Wind"}
