@@ -1,7 +1,9 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml import Pipeline
 from pyspark.ml.classification import LinearSVC
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
@@ -162,6 +164,39 @@ def test_cross_validation_and_search(data):
     assert best["maxIter"] == 2 and 0 <= recall <= 1
 
 
+def folds_by_hand(df, folds):
+    """Training and held-out rows of each fold, weighted as the validation has them."""
+    ready = splits.with_fold(splits.with_balanced_weight(df, "label"), ["id"], "label", folds)
+    return [(ready.filter(F.col("fold") != i), ready.filter(F.col("fold") == i)) for i in range(folds)]
+
+
+def counted_fits(monkeypatch):
+    fitted, fit = [], Pipeline.fit
+    monkeypatch.setattr(Pipeline, "fit", lambda self, rows, *a: fitted.append(sorted(rows.columns)) or fit(self, rows, *a))
+    return fitted
+
+
+def test_cross_validation_fits_once_a_fold(data, monkeypatch):
+    _, df = data
+    df = df.unionByName(df.limit(5).withColumn("label", F.lit(None).cast("int")))
+    recalls, aucs = [], []
+    for rest, held_out in folds_by_hand(df, 3):
+        scored = models.logistic_regression(COLUMNS).fit(rest).transform(held_out)
+        recalls.append(scored.filter("label = 1").agg(F.avg(F.col("prediction"))).first()[0])
+        aucs.append(BinaryClassificationEvaluator().evaluate(scored))
+    fitted = counted_fits(monkeypatch)
+    got = models.cross_validate(df, {"lr": models.logistic_regression(COLUMNS)}, ["id"], folds=3).first()
+    assert fitted == [sorted([*COLUMNS, "label", "weight", "fold"])] * 3  # no fit on all rows, no key in the rows kept
+    want = [np.mean(recalls), np.std(recalls), np.mean(aucs), np.std(aucs)]
+    assert np.allclose([got[c] for c in ("recall_mean", "recall_std", "auc_mean", "auc_std")], want, atol=1e-4)
+
+
+def test_folds_without_failures_are_refused(data):
+    _, df = data
+    with pytest.raises(ValueError, match="class 1"):
+        models.cross_validate(df.filter("label = 0"), {"lr": models.logistic_regression(COLUMNS)}, ["id"], folds=2)
+
+
 def test_permutation_importance_joins_once(data, fitted, monkeypatch):
     _, df = data
     joins, curves = [], []
