@@ -191,6 +191,17 @@ def test_cross_validation_fits_once_a_fold(data, monkeypatch):
     assert np.allclose([got[c] for c in ("recall_mean", "recall_std", "auc_mean", "auc_std")], want, atol=1e-4)
 
 
+def test_random_search_keeps_narrow_rows(data, monkeypatch):
+    _, df = data
+    fitted, kept = counted_fits(monkeypatch), df.sparkSession.sparkContext._jsc.getPersistentRDDs
+    before = set(kept().keys())
+    space = {"maxIter": [2], "maxDepth": [1, 3], "stepSize": [0.1]}
+    model, best, recall = models.random_search(df, COLUMNS, ["id"], space, draws=2, folds=2)
+    assert all(sorted([*COLUMNS, "label", "weight", "fold"]) == columns for columns in fitted)
+    assert model.stages[-1].getMaxDepth() == best["maxDepth"] and 0 <= recall <= 1
+    assert set(kept().keys()) <= before
+
+
 def test_folds_without_failures_are_refused(data):
     _, df = data
     with pytest.raises(ValueError, match="class 1"):
