@@ -1,10 +1,12 @@
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
-from pyspark.ml import Pipeline
-from pyspark.ml.classification import LinearSVC
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.classification import LinearSVC, LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from assetlake.learning import balancing, boosting, hinge, models, neighbors, splits
@@ -365,3 +367,72 @@ def test_radial_fit_refuses_other_labels(spark):
     rows = spark.createDataFrame([(1.0, 2.0, 0), (2.0, 1.0, 1), (3.0, 3.0, 2)], "a double, b double, label int")
     with pytest.raises(Exception, match="label must be 0 or 1"):
         models.fit(rows, models.radial_svc(COLUMNS, size=8))
+
+
+def test_radial_fit_takes_few_passes_and_margins_once(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    x = rng.normal(0, 1, (3000, 2))
+    label = (np.sin(2 * x[:, 0]) + x[:, 1] ** 2 + rng.normal(0, 1, 3000) > 1).astype(int)
+    train = spark.createDataFrame(pd.DataFrame({"a": x[:, 0], "b": x[:, 1], "label": label})).repartition(6)
+    passes, made = [], hinge._hinge
+    monkeypatch.setattr(hinge, "_hinge", lambda *given: passes.append(1) or made(*given))
+    monkeypatch.setattr(hinge, "BLOCK_ROWS", 100)
+    pipeline = models.radial_svc(COLUMNS, size=64)
+    model = models.fit(train, pipeline)
+    assert len(passes) <= 30
+    weighted = splits.with_balanced_weight(train, "label")
+    features = PipelineModel(model.stages[:3]).transform(weighted)
+    rows = features.toPandas()
+    z, y, w = np.stack(rows.features.map(lambda v: v.toArray())), 2 * rows.label - 1, rows.weight
+
+    def loss(coefficients, intercept):
+        return (w * np.maximum(0, 1 - y * (z @ np.array(coefficients) + intercept))).sum() / w.sum()
+
+    part = model.stages[3]
+    reached = loss(part.getOrDefault("coefficients"), part.getOrDefault("intercept"))
+    kept = LinearSVC(weightCol="weight", maxIter=100).fit(features)
+    assert reached <= loss(kept.coefficients.toArray(), kept.intercept)
+    # a logistic fit that reads the margins row by row gives the same probabilities
+    margins = PipelineModel(model.stages[:4]).transform(weighted).select("label", "weight", "margin")
+    plain = LogisticRegression(weightCol="weight", featuresCol="margin").fit(margins)
+    assert abs(model.stages[4].coefficients.toArray() - plain.coefficients.toArray()).max() < 1e-6
+    # sums that are added up in the cluster first give the same fit
+    monkeypatch.setattr(hinge, "ROWS_PER_TASK", 400)
+    monkeypatch.setattr(hinge, "TASKS_A_SUM", 2)
+    again = models.fit(train, pipeline).stages[3]
+    assert np.allclose(again.getOrDefault("coefficients"), part.getOrDefault("coefficients"), rtol=1e-2, atol=1e-2)
+
+
+def test_a_radial_pass_gives_loss_gradient_and_second_derivatives():
+    rng = np.random.default_rng(3)
+    x, signed = rng.normal(0, 1, (500, 2)).astype("<f4"), rng.uniform(0.5, 2, 500) * rng.choice([-1, 1], 500)
+    weights, shifts = hinge.draws(2, 6, 0.5, 1)
+    z = np.column_stack([np.cos(x @ weights.T + shifts) * 2**0.5, np.ones(500)])
+    at, step, width, length = rng.normal(0, 0.3, 7), rng.normal(0, 0.3, 7), 0.5, 0.25
+
+    def loss(point):
+        u = 1 - np.sign(signed) * (z @ point)
+        return np.where(u < -width, 0, np.where(u > width, u, (u + width) ** 2 / (4 * width))) @ np.abs(signed)
+
+    batch = pa.RecordBatch.from_arrays([pa.array([v.tobytes()], pa.binary()) for v in (x, signed)], ["x", "signed"])
+    out, = hinge._hinge(weights, shifts, at, step, length, width)(iter([batch]))
+    sums = np.frombuffer(out.column(0)[0].as_buffer())
+    k = len(hinge.LENGTHS) + 1
+    assert np.allclose(sums[:k], [loss(at + t * step) for t in (0, *hinge.LENGTHS)], rtol=1e-4)
+    there, tiny = at + length * step, 1e-4 * np.eye(7)
+    slope = [(loss(there + d) - loss(there - d)) / 2e-4 for d in tiny]
+    assert np.allclose(sums[k : k + 7], slope, rtol=1e-2, atol=0.1)
+    bent = np.abs(1 - np.sign(signed) * (z @ there)) < width
+    bend = (z[bent] * (np.abs(signed[bent]) / (2 * width))[:, None]).T @ z[bent]
+    assert np.allclose(sums[k + 7 :], bend[np.triu_indices(7)], rtol=1e-3, atol=0.1)
+
+
+def test_margins_of_many_turns(spark):
+    part = hinge.FourierMargin()._set(width=1, size=3, gamma=0.5, seed=1, inputCol="v", outputCol="m", coefficients=[1.0, -2.0, 0.5], intercept=0.25)
+    values = [-40.0, 0.0, 0.1, 700.0]
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, x double")
+    vectors = rows.withColumn("v", array_to_vector(F.array("x")))
+    got = [r["m"][1] for r in part.transform(vectors).orderBy("i").collect()]
+    weights, shifts = hinge.draws(1, 3, 0.5, 1)
+    for v, m in zip(values, got):
+        assert abs((2 / 3) ** 0.5 * np.cos(weights[:, 0] * v + shifts) @ [1.0, -2.0, 0.5] + 0.25 - m) < 1e-10
