@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +13,8 @@ from assetlake.operators import store
 from assetlake.sources.versioned import VersionedTable
 from assetlake.streaming import messages
 
+PARTS_A_BATCH = 2**20  # numbers kept for the parts of a micro-batch
+
 
 def replace_batch(df: DataFrame, path: str, batch_id: int) -> None:
     """Write the rows of one micro-batch as its own partition; a replay overwrites only that partition."""
@@ -20,6 +23,7 @@ def replace_batch(df: DataFrame, path: str, batch_id: int) -> None:
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("batch")
+        .option("compression", "zstd")
         .parquet(path)
     )
 
@@ -38,6 +42,29 @@ def fan_out(targets: dict[str, Callable[[DataFrame], DataFrame]], base: str) ->
     return write
 
 
+def in_parts(
+    write: Callable[[DataFrame, int], None], prepare: Callable[[DataFrame], DataFrame], rows_per_task: int, rows_per_part: int
+) -> Callable[[DataFrame, int], None]:
+    """foreachBatch function that deals a micro-batch into parts and hands them to ``write`` one after another, as smaller batches.
+
+    A micro-batch is at least a file, whatever its size. What ``prepare`` makes of a row may be far larger than the row, so it is
+    made for one part at a time and ``write`` may persist it: a part has about ``rows_per_part`` rows, its tasks ``rows_per_task``.
+    The rows are parted by a hash of their values, without a shuffle (a slice is a filter on the source, read once for each), so a
+    replay finds the same parts under the same numbers.
+    """
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        scans = max(1, batch.rdd.getNumPartitions())
+        slices = max(1, -(-batch.count() // (rows_per_task * scans)))
+        together = max(1, rows_per_part // (rows_per_task * scans))
+        slice_of = F.pmod(F.xxhash64(*batch.columns), F.lit(slices))
+        for part, first in enumerate(range(0, slices, together)):
+            cut = [prepare(batch.filter(slice_of == i)) for i in range(first, min(first + together, slices))]
+            write(reduce(DataFrame.unionByName, cut), batch_id * PARTS_A_BATCH + part)
+
+    return run
+
+
 def sensor_targets(sensors: Sequence[str] = messages.SENSORS) -> dict[str, Callable[[DataFrame], DataFrame]]:
     """Offline rows, online rows, raw audit and refused messages of a parsed micro-batch."""
 

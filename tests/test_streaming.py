@@ -382,3 +382,39 @@ def test_linear_predictor_equals_the_model(spark):
     model = models.fit(data, models.logistic_regression(["x", "y"]))
     predict = scoring.linear_predictor(model)
     assert all(r["p"] == pytest.approx(predict([r["x"], r["y"]]), abs=1e-12) for r in models.score(model, data).collect())
+
+
+def test_a_large_batch_is_made_and_kept_in_parts(spark, rows, tmp_path):
+    spark.range(3000).selectExpr("id", "id % 7 AS entity").coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("id long, entity long").parquet(str(tmp_path / "in"))
+    text = F.format_string('{"equipment_id": "e%d", "timestamp": "2024-01-01T00:00:00Z", "message_id": "%d", "data": {"temperature": 20, "vibration": 1, "pressure": 5}}', "entity", "id")
+    seen, fan = [], sinks.fan_out(sinks.sensor_targets(), str(tmp_path / "out"))
+
+    def write(batch, number):
+        seen.append((number, batch.count(), batch.rdd.getNumPartitions()))
+        fan(batch, number)
+
+    run = sinks.in_parts(write, lambda part: messages.parse(part.select(text.alias("value"))), 250, 1000)
+    sinks.run_available(stream, str(tmp_path / "state"), foreach_batch=run)
+    sizes = [n for _, n, _ in seen]
+    assert len(sizes) == 3 and sum(sizes) == 3000 and max(sizes) < 1200 and all(tasks == 4 for *_, tasks in seen)
+    first = list(seen)
+    run(spark.read.parquet(str(tmp_path / "in")), 0)  # a replay makes and overwrites the same parts
+    assert seen[3:] == first
+    raw = spark.read.parquet(str(tmp_path / "out" / "raw"))
+    assert rows(raw, F.col("message_id").cast("int")) == sorted(((i,) for i in range(3000)), key=repr)
+    assert spark.read.parquet(str(tmp_path / "out" / "online")).select("equipment_id").distinct().count() == 7
+
+
+def test_fan_out_query_holds_part_of_a_large_file(spark, rows, monkeypatch, split_tables):
+    held, fan_out = [], sinks.fan_out
+
+    def watched(targets, base):
+        write = fan_out(targets, base)
+        return lambda batch, number: held.append(batch.count()) or write(batch, number)
+
+    monkeypatch.setattr(sinks, "fan_out", watched)
+    monkeypatch.setattr(queries_streaming, "ROWS_PER_TASK", 300)
+    monkeypatch.setattr(queries_streaming, "ROWS_PER_PART", 2000, raising=False)
+    check_against_oracle(spark, rows, "s07_x12_stream_fan_out", split_tables)
+    assert sum(held) > 5000 and max(held) < 3000
