@@ -3,7 +3,7 @@ import pandas as pd
 import pyarrow as pa
 import pytest
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LinearSVC, LogisticRegression
+from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
@@ -436,3 +436,33 @@ def test_margins_of_many_turns(spark):
     weights, shifts = hinge.draws(1, 3, 0.5, 1)
     for v, m in zip(values, got):
         assert abs((2 / 3) ** 0.5 * np.cos(weights[:, 0] * v + shifts) @ [1.0, -2.0, 0.5] + 0.25 - m) < 1e-10
+
+
+def test_boosted_trees_on_blocks_equal_those_of_mllib(spark, tmp_path):
+    rng = np.random.default_rng(8)
+    x = np.column_stack([rng.normal(0, 1, 3000), rng.integers(0, 6, 3000), np.zeros(3000)])
+    label = (x[:, 0] + 0.4 * x[:, 1] + rng.normal(0, 1, 3000) > 1.5).astype(int)
+    train = spark.createDataFrame(pd.DataFrame({"a": x[:, 0], "b": x[:, 1], "c": x[:, 2], "label": label})).repartition(5)
+    fits = {}
+    for name, kind in (("blocks", models.BlockGBT), ("rows", GBTClassifier)):
+        pipeline = models.boosted_trees([*COLUMNS, "c"], rounds=8, depth=3)
+        learner = pipeline.getStages()[-1]
+        assert isinstance(learner, models.BlockGBT)
+        if kind is GBTClassifier:
+            plain = GBTClassifier(labelCol="label", weightCol="weight", maxIter=8, maxDepth=3, stepSize=0.1, seed=models.SEED)
+            pipeline = Pipeline(stages=[pipeline.getStages()[0], plain])
+        fits[name] = models.fit(train, pipeline)
+    a, b = (fits[n].stages[-1] for n in ("blocks", "rows"))
+    assert a.treeWeights == b.treeWeights and a.numFeatures == b.numFeatures and a.getNumTrees == b.getNumTrees
+    assert np.allclose(a.featureImportances.toArray(), b.featureImportances.toArray(), atol=1e-9)
+    p = [models.score(fits[n], train).select("a", "p").toPandas().sort_values("a").p.to_numpy() for n in ("blocks", "rows")]
+    assert np.abs(p[0] - p[1]).max() < 1e-9
+    models.save(fits["blocks"], str(tmp_path / "gbt"))
+    again = models.score(models.load(str(tmp_path / "gbt")), train).select("a", "p").toPandas().sort_values("a").p.to_numpy()
+    assert (again == p[0]).all()
+
+
+def test_boosted_trees_refuse_other_labels(spark):
+    rows = spark.createDataFrame([(1.0, 2.0, 0), (2.0, 1.0, 1), (3.0, 3.0, 2)], "a double, b double, label int")
+    with pytest.raises(Exception, match="label must be 0 or 1"):
+        models.fit(rows, models.boosted_trees(COLUMNS, rounds=2, depth=2))
