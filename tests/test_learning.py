@@ -439,9 +439,9 @@ def test_margins_of_many_turns(spark):
 
 
 def test_boosted_trees_on_blocks_equal_those_of_mllib(spark, tmp_path):
-    rng = np.random.default_rng(8)
-    x = np.column_stack([rng.normal(0, 1, 3000), rng.integers(0, 6, 3000), np.zeros(3000)])
-    label = (x[:, 0] + 0.4 * x[:, 1] + rng.normal(0, 1, 3000) > 1.5).astype(int)
+    rng = np.random.default_rng(8)  # beyond 10,000 rows MLlib draws rows for its cuts
+    x = np.column_stack([rng.normal(0, 1, 12000), rng.integers(0, 6, 12000), np.zeros(12000)])
+    label = (x[:, 0] + 0.4 * x[:, 1] + rng.normal(0, 1, 12000) > 1.5).astype(int)
     train = spark.createDataFrame(pd.DataFrame({"a": x[:, 0], "b": x[:, 1], "c": x[:, 2], "label": label})).repartition(5)
     fits = {}
     for name, kind in (("blocks", models.BlockGBT), ("rows", GBTClassifier)):
